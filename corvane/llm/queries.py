@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontaminate, language, mixing, packing
+from corvane.llm import decontaminate, language, lz_fingerprint, mixing, packing
 from corvane.llm.common import table
 from corvane.llm.near_dup import near_duplicates
 
@@ -13,6 +13,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -29,5 +33,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op5_token_packing, op7_language_id, op8_minhash_near_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op4_lz_fingerprints, op5_token_packing, op7_language_id, op8_minhash_near_dedup, op10_mixing)}
 ORACLE = {"op2_decontamination": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE}
