@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontaminate, language, lz_fingerprint, mixing, packing
+from corvane.llm import decontaminate, language, lz_fingerprint, mixing, packing, secrets, token_counts
 from corvane.llm.common import table
 from corvane.llm.near_dup import near_duplicates
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -21,6 +25,10 @@ def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
@@ -33,5 +41,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op4_lz_fingerprints, op5_token_packing, op7_language_id, op8_minhash_near_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_lz_fingerprints, op5_token_packing, op6_secret_scan, op7_language_id, op8_minhash_near_dedup, op10_mixing)}
 ORACLE = {"op2_decontamination": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE}
