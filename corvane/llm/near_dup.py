@@ -1,24 +1,25 @@
 """Near-duplicate classes of documents: ProbMinHash signatures, banding, exact verification, connected components.
 
-Documents are sets of shingles of five words (runs of 0-9, a-z and non-ASCII, A-Z lower-cased), a shingle weighing
-1 + ln(its count). Two are linked if their Jaccard similarity, plain or probability, is 0.8 or more; a class is a connected
-component of the links. The plan, in which no step holds more than a bounded group in one task:
+Documents are sets of shingles of five words (runs of 0-9, a-z and non-ASCII, A-Z lower-cased). Candidates come from ProbMinHash
+signatures, where a shingle weighs 1 + ln(its count); two documents are linked if the exact Jaccard similarity of their shingle
+sets is 0.8 or more, and a class is a connected component of the links. No step holds more than a bounded group in one task:
 
-1. One pass of Python over the texts gives each document a key of its words, a signature and its band hashes.
+1. One pass of Python over the texts gives each document a key of its words and its band hashes.
 2. Equal keys collapse into the copy of the least id, so that copies meet in one aggregation and never in pairs.
 3. In each bucket (a band hash held by two or more), every member is paired with one pivot only: the member that shares
    buckets with most others. For a family of edited copies that is the text they were edited from.
 4. The distinct pairs are verified on the whole texts; the links give components.
-5. What that leaves open, members that failed against their pivot and belong to another component, is compared with all
-   other members of the bucket by signature, in blocks of bounded size over many tasks. Pairs that agree in enough registers
-   are verified like the others. So a link is lost only where banding or the register count misses it: about 3 and
-   1 in a million at a similarity of 0.8, less above.
+5. That leaves open the members that failed against their pivot and belong to another component than it: they are compared
+   with all other members of the bucket, in blocks of bounded size over many tasks. Verification has noted which shingles of
+   the pivot each member lacks and which others it has, and these differences give the exact similarity of any two members
+   without their texts; so no pairs are ever listed but links.
+
+A link is lost only where all bands miss it: about 3 in a million at a similarity of 0.8, fewer above.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.common import blocks, settled, words_of, written
-from corvane.llm.shingles import band_hashes, prob_min_hash, similarity, weighted
+from corvane.llm.shingles import band_hashes, prob_min_hash, shingle_hashes, weighted
 
 THRESHOLD, BANDS, ROWS = 0.8, 32, 5
-#: Characters whose shingles are held at a time; members of a bucket that meet in one block.
-CHARS, BLOCK = 4_000_000, 1024
+#: Characters whose shingles are held at a time; members of a bucket that meet in one block; shingles marked in a matrix at a time.
+CHARS, BLOCK, COLUMNS = 4_000_000, 1024, 4096
 
 
 def _signer(bands: int, rows: int):
@@ -45,52 +46,83 @@ def _signer(bands: int, rows: int):
                 owner = np.repeat(np.arange(len(part)), [len(s[0]) for s in sets])
                 signature = prob_min_hash(np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]), owner, len(part), bands * rows)
                 hashes = band_hashes(signature, bands, rows)
-                short = (signature & np.uint64(0xFFFFFFFF)).astype("<u4")
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * bands), pa.array(hashes.ravel()))
-                yield pa.RecordBatch.from_arrays([ids[start:stop], pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in short], pa.binary()), lists], ["id", "key", "signature", "bands"])
+                yield pa.RecordBatch.from_arrays([ids[start:stop], pa.array(keys, pa.binary()), lists], ["id", "key", "bands"])
 
     return sign
 
 
-def _verifier(threshold: float):
+def _verifier():
+    """Of pairs (id, pivot, text, pivot's text): the similarity, the numbers of shingles, and the differences."""
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
-            keep = []
-            for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if last[0] != (b, len(tb)):
-                    last = ((b, len(tb)), weighted(tb))
-                keep.append(max(similarity(weighted(ta), last[1])) >= threshold)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+            out = {k: [] for k in ("similarity", "n", "n_pivot", "lacks", "adds")}
+            for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
+                own, text = np.unique(shingle_hashes(words_of(ta.as_py()))), tb.as_py()
+                if last[0] != text:
+                    last = (text, np.unique(shingle_hashes(words_of(text))))
+                lacks = np.flatnonzero(~np.isin(last[1], own, assume_unique=True)).astype("<u4")
+                adds = np.setdiff1d(own, last[1], assume_unique=True).astype("<u8")
+                both = len(own) - len(adds)
+                out["similarity"].append(both / max(1, len(own) + len(last[1]) - both))
+                out["n"].append(len(own))
+                out["n_pivot"].append(len(last[1]))
+                out["lacks"].append(lacks.tobytes())
+                out["adds"].append(adds.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out["similarity"], pa.float64()), pa.array(out["n"], pa.int32()), pa.array(out["n_pivot"], pa.int32()), pa.array(out["lacks"], pa.binary()), pa.array(out["adds"], pa.binary())], ["id", "pivot", *out])
 
     return verify
 
 
-def _agreeing(least: int, width: int):
-    """Of each block, given as lists, the pairs of a query and another member of another component that agree in `least` registers."""
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many members each set of a shares with each of b; only a slice of the members stands in memory at a time."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    met = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    for i in range(0, len(met), COLUMNS):
+        part = met[i : i + COLUMNS]
+        marks = []
+        for sets in (a, b):
+            marks.append(np.zeros((len(sets), len(part)), np.float32))
+            for k, x in enumerate(sets):
+                x = x[np.searchsorted(x, part[0]) : np.searchsorted(x, part[-1], "right")]
+                at = np.minimum(np.searchsorted(part, x), len(part) - 1)
+                marks[-1][k, at[part[at] == x]] = 1
+        out += marks[0] @ marks[1].T
+    return out
+
+
+def _crossing(threshold: float):
+    """Of each block of members of a bucket, one link at most from each asking member to each other component."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for row in batch.column(0).to_pylist():
-                ids, comps = (np.array([x[k] for x in row], np.int64) for k in ("id", "component"))
-                asks = np.array([x["asks"] for x in row], bool)
-                registers = np.frombuffer(b"".join(x["signature"] for x in row), "<u4").reshape(len(row), width)
-                others = np.flatnonzero(~asks)
-                for q in np.flatnonzero(asks):
-                    near = others[(registers[others] == registers[q]).sum(1) >= least]
-                    near = near[comps[near] != comps[q]]
-                    a += np.minimum(ids[near], ids[q]).tolist()
-                    b += np.maximum(ids[near], ids[q]).tolist()
+            for block in batch.column(0):
+                rows = block.as_py()
+                asking, others = [x for x in rows if x["asks"]], [x for x in rows if not x["asks"]]
+                lacks = [[np.frombuffer(x["lacks"], "<u4") for x in side] for side in (asking, others)]
+                adds = [[np.frombuffer(x["adds"], "<u8") for x in side] for side in (asking, others)]
+                n, m = (np.array([x["n"] for x in side])[:, None] for side in (asking, others))
+                gone = np.array([len(x) for x in lacks[0]])[:, None] + np.array([len(x) for x in lacks[1]]) - _overlaps(*lacks)
+                both = rows[0]["n_pivot"] - gone + _overlaps(*adds)
+                apart = np.array([x["component"] for x in asking])[:, None] != np.array([x["component"] for x in others])
+                links = {}
+                for i, j in zip(*np.nonzero(apart & (both >= threshold * (n + m.T - both) - 1e-6)), strict=True):
+                    links[i, others[j]["component"]] = asking[i]["id"], others[j]["id"]
+                a += [x for x, _ in links.values()]
+                b += [x for _, x in links.values()]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return compare
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Of distinct pairs (a, b) of ids, those whose whole texts (id, text) are similar enough."""
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    return joined.select("a", "b", "ta", "tb").where("ta IS NOT NULL AND tb IS NOT NULL").mapInArrow(_verifier(threshold), "a long, b long")
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Distinct pairs (id, pivot) with what the whole texts (id, text) of both tell about them."""
+    joined = pairs.join(texts.select("id", F.col("text").alias("ta")), "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tb")), "pivot")
+    found = joined.select("id", "pivot", "ta", "tb").where("ta IS NOT NULL AND tb IS NOT NULL")
+    return found.mapInArrow(_verifier(), "id long, pivot long, similarity double, n int, n_pivot int, lacks binary, adds binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -119,12 +151,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A document without words (null, empty, only punctuation) is alone in its class. Rows that repeat an id are one document,
     linked to whatever one of its texts is linked to. A null id has a null class. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = written(texts.where("id IS NOT NULL").mapInArrow(_signer(bands, rows), "id long, key binary, signature binary, bands array<long>"), "signed")
+    signed = written(texts.where("id IS NOT NULL").mapInArrow(_signer(bands, rows), "id long, key binary, bands array<long>"), "signed")
 
     worded = signed.where("key IS NOT NULL")
-    copy_of = written(worded.select("id", "key").join(worded.groupBy("key").agg(F.min("id").alias("copy_of")), "key").select("id", "copy_of"), "copies")
+    first = written(worded.groupBy("key").agg(F.min("id").alias("copy_of")), "first")
+    copy_of = written(worded.select("id", "key").join(first, "key").select("id", "copy_of"), "copies")
     leads = worded.join(copy_of.where("id = copy_of").select("id"), "id", "left_semi")
 
     banded = leads.select("id", F.explode("bands").alias("bucket"))
@@ -133,23 +165,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     central = members.groupBy("id").agg(F.sum("n").alias("weight"))
     pivots = members.join(central, "id").groupBy("bucket").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("pivot"))
     stars = written(members.join(pivots, "bucket"), "stars")
-    pairs = stars.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    links = written(verified(pairs, texts, threshold), "links")
+    rays = written(verified(stars.where("id <> pivot").select("id", "pivot").distinct(), texts), "rays")
+    links = rays.where(F.col("similarity") >= threshold).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     found = written(components(links), "components")
 
     placed = written(stars.join(found, "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component")), "placed")
     centre = placed.where("id = pivot").select("bucket", F.col("component").alias("centre"))
     opened = placed.join(centre, "bucket").withColumn("asks", F.expr("component <> centre"))
     sizes = opened.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).where("n > 2 AND asking > 0")
-    opened = opened.join(sizes, "bucket").where("id <> pivot").join(leads.select("id", "signature").dropDuplicates(["id"]), "id")
+    opened = opened.join(sizes, "bucket").where("id <> pivot").join(rays, ["id", "pivot"])
+    what = ["bucket", "id", "component", "n_shingles", "n_pivot", "lacks", "adds"]
+    opened = opened.select("bucket", "id", "component", "asks", "asking", sizes["n"].alias("size"), rays["n"].alias("n_shingles"), "n_pivot", "lacks", "adds")
     mine = lambda n: F.expr(f"pmod(xxhash64(id), ceil({n} / {BLOCK}))")
     every = lambda n: F.explode(F.expr(f"sequence(0L, ceil({n} / {BLOCK}) - 1)"))
-    asked = opened.select("bucket", "id", "component", "signature", F.lit(False).alias("asks"), mine("n").alias("there"), every("asking").alias("here"))
-    asking = opened.where("asks").select("bucket", "id", "component", "signature", F.lit(True).alias("asks"), every("n").alias("there"), mine("asking").alias("here"))
-    grouped = asked.unionByName(asking).groupBy("bucket", "there", "here").agg(F.collect_list(F.struct("id", "component", "signature", "asks")).alias("block"))
-    least = math.floor(bands * rows * threshold - 5 * math.sqrt(bands * rows * threshold * (1 - threshold)))
-    more = grouped.where("exists(block, x -> x.asks) AND exists(block, x -> NOT x.asks)").select("block").mapInArrow(_agreeing(least, bands * rows), "a long, b long").distinct()
-    later = written(verified(written(more, "more"), texts, threshold), "later")
+    asked = opened.select(*what, F.lit(False).alias("asks"), mine("size").alias("there"), every("asking").alias("here"))
+    asking = opened.where("asks").select(*what, F.lit(True).alias("asks"), every("size").alias("there"), mine("asking").alias("here"))
+    block = F.collect_list(F.struct("id", "component", F.col("n_shingles").alias("n"), "n_pivot", "lacks", "adds", "asks"))
+    grouped = asked.unionByName(asking).groupBy("bucket", "there", "here").agg(block.alias("block"))
+    later = grouped.where("exists(block, x -> x.asks) AND exists(block, x -> NOT x.asks)").select("block").mapInArrow(_crossing(threshold), "a long, b long")
+    later = written(later.distinct(), "later")
     if not later.isEmpty():
         found = written(components(links.union(later)), "components")
 
@@ -157,7 +191,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classed = classed.groupBy("id").agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"))
     alone = signed.select("id").distinct().join(classed.select("id"), "id", "left_anti").select("id", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
     nowhere = texts.where("id IS NULL").select("id").distinct().select("id", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
-    assert spark is not None
     return classed.union(alone).union(nowhere).withColumnRenamed("id", id_col)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import zlib
 
 import numpy as np
@@ -35,26 +34,6 @@ def weighted(text: str | None, width: int = WIDTH) -> tuple[np.ndarray, np.ndarr
     return found, 1.0 + np.log(counts)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
-    """Of two weighted sets: the Jaccard similarity, and the probability Jaccard similarity.
-
-    The latter is the sum over shared d of 1 / sum over x of max(v(x)/v(d), w(x)/w(d)). With the shared shingles sorted by
-    v/w, the inner maximum is v(x)/v(d) for the x of higher v/w and w(x)/w(d) for the rest, so prefix sums give it.
-    """
-    (ka, va), (kb, wb) = a, b
-    common, i, j = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
-    union = len(ka) + len(kb) - len(common)
-    if not len(common):
-        return (1.0, 1.0) if union == 0 else (0.0, 0.0)
-    v, w = va[i], wb[j]
-    order = np.argsort(v / w, kind="stable")
-    v, w = v[order], w[order]
-    above = v.sum() - np.cumsum(v)  # of higher or, harmlessly, equal v/w
-    below = np.cumsum(w)
-    alone_a, alone_b = va.sum() - v.sum(), wb.sum() - w.sum()
-    return len(common) / union, float(np.sum(1.0 / ((above + alone_a) / v + (below + alone_b) / w)))
-
-
 def prob_min_hash(element: np.ndarray, weight: np.ndarray, owner: np.ndarray, owners: int, m: int) -> np.ndarray:
     """ProbMinHash signatures (owners x m, uint64) of weighted sets given as parallel arrays of elements, weights and owners.
 
@@ -92,8 +71,3 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     for j, p in enumerate(_powers(rows)):
         h += parts[:, :, j] * p
     return mix64(h + (np.arange(bands, dtype=np.uint64) + np.uint64(1)) * np.uint64(GOLDEN)).view(np.int64)
-
-
-def miss(similarity: float, bands: int, rows: int) -> float:
-    """The probability that a pair of this similarity shares no band."""
-    return math.pow(1 - math.pow(similarity, rows), bands)
