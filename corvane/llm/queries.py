@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontaminate, html_text, language, lz_fingerprint, mixing, packing, secrets, token_counts
+from corvane.llm import decontaminate, html_text, language, lz_fingerprint, mixing, packing, secrets, token_counts, url_filter
 from corvane.llm.common import table
 from corvane.llm.near_dup import near_duplicates
 
@@ -41,9 +41,13 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.report(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_html_extraction, op4_lz_fingerprints, op5_token_packing, op6_secret_scan, op7_language_id, op8_minhash_near_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_html_extraction, op4_lz_fingerprints, op5_token_packing, op6_secret_scan, op7_language_id, op8_minhash_near_dedup, op9_url_filter, op10_mixing)}
 ORACLE = {"op2_decontamination": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE}
