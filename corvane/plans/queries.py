@@ -1,6 +1,657 @@
-"""The registered queries of the engine and, where SQL can express them, their SQL."""
+"""The registered queries of the engine and, where SQL can express them, their SQL.
+
+Posts are documents joined with events; a user's number modulo 7 stands for a home location, and hashes stand for models.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from corvane.functions import scores as S
+from corvane.functions import text as T
+from corvane.operators import audit, evaluation, features, keywords, labels, location, sampling
+from corvane.sources.posts import posts as posts_of
+from corvane.sources.tables import hour_counts, json_counts
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+#: A small list for demonstration; production lists are read by sources.tables.load_sides.
+SIDES = [("old", ["old", "elder", "senior", "aged ", "retire", "this"]), ("young", ["young", "teen", "kid", "child", "this"])]
+PATTERNS = ["(^|[^a-z])old([^a-z]|$)", "young[a-z]*er", "(the|a) (elder|senior)s?", "teen(age)?r"]
+SMOOTHING = location.Smoothing(0.1, 0.5, 2.0)
+VOCABULARY = 400
+LEAST = 3
+
+POSTS = "posts AS (SELECT doc_id AS id, text, lang, source AS subreddit, 'u' || user_id AS author, ts AS time FROM documents JOIN events ON doc_id = event_id)"
+TERMS = "terms(side, term) AS (VALUES ('old', 'old'), ('old', 'elder'), ('old', 'senior'), ('old', 'aged '), ('old', 'retire'), ('young', 'this'), ('young', 'young'), ('young', 'teen'), ('young', 'kid'), ('young', 'child'))"
+HITS = f"{POSTS}, {TERMS}, hits AS (SELECT p.*, side, term FROM posts p, terms WHERE contains(lower(text), term))"
+#: Features of all posts: tokens, subreddit and hour.
+FEATURES = f"""{POSTS}, keys AS (
+  SELECT author, 'w:' || unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9'']+')) AS feature FROM posts
+  UNION ALL SELECT author, 's:' || trim(subreddit) FROM posts WHERE trim(subreddit) <> ''
+  UNION ALL SELECT author, 'h:' || lpad(CAST(hour(time) AS VARCHAR), 2, '0') FROM posts),
+author_features AS (SELECT author, feature, count(*) AS cnt FROM keys GROUP BY author, feature),
+homes AS (SELECT DISTINCT author, 'g' || (CAST(substr(author, 2) AS BIGINT) % 7) AS location FROM posts),
+by_location AS (SELECT location, feature, CAST(sum(cnt) AS BIGINT) AS cnt FROM author_features JOIN homes USING (author) GROUP BY location, feature),
+totals AS (SELECT feature, CAST(sum(cnt) AS BIGINT) AS total FROM by_location GROUP BY feature)"""
+PRIORS = "priors AS (SELECT location, n, (n + 0.5::DOUBLE) / (sum(n) OVER () + 0.5::DOUBLE * count(*) OVER ()) AS prior FROM (SELECT location, count(*) AS n FROM homes GROUP BY location))"
+MI = f"""mi AS (
+  SELECT feature, sum(c * ln(c / (p * (total / all_tokens::DOUBLE)))) AS mi
+  FROM (SELECT b.location, b.feature, b.cnt / a.all_tokens::DOUBLE AS c, a.all_tokens FROM by_location b, (SELECT sum(cnt) AS all_tokens FROM by_location) a)
+  JOIN totals USING (feature) JOIN (SELECT location, prior / sum(prior) OVER () AS p FROM priors) USING (location)
+  WHERE total >= {LEAST} GROUP BY feature)"""
+VOCAB = f"vocab AS (SELECT feature, total FROM totals ORDER BY total DESC, feature LIMIT {VOCABULARY})"
+ALPHA = "CASE WHEN feature LIKE 's:%' THEN 0.5 WHEN feature LIKE 'h:%' THEN 2.0 ELSE 0.1 END::DOUBLE"
+MODEL = f"""{FEATURES}, {PRIORS}, {VOCAB},
+overrides AS (SELECT location, feature, cnt FROM by_location WHERE feature IN (SELECT feature FROM vocab)),
+alphas AS (SELECT location, feature, {ALPHA} AS base, {ALPHA} + coalesce(cnt, 0) AS alpha FROM (SELECT location, feature FROM priors, vocab) LEFT JOIN overrides USING (location, feature)),
+params AS (SELECT location, sum(alpha) AS alpha_sum, lgamma(sum(alpha)) - sum(lgamma(alpha)) AS const, sum(lgamma(alpha)) AS lgamma_sum FROM alphas GROUP BY location),
+known AS (SELECT author, feature, cnt FROM author_features WHERE feature IN (SELECT feature FROM vocab)),
+sums AS (SELECT author, sum(cnt) AS n FROM known GROUP BY author),
+scores AS (
+  SELECT author, location, ln(prior) + sum(lgamma(alpha + cnt) - lgamma(alpha)) + any_value(lgamma(alpha_sum) - lgamma(alpha_sum + sums.n)) AS score
+  FROM known JOIN alphas USING (feature) JOIN params USING (location) JOIN priors USING (location) JOIN sums USING (author) GROUP BY author, location, prior),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY round(score, 9) DESC, location) AS rank FROM scores)"""
+MEASURED = f"{MODEL}, truth AS (SELECT author, location AS label FROM homes)"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def lowered(spark: SparkSession, d: str) -> DataFrame:
+    return posts_of(spark, d).withColumn("text", F.lower("text"))
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# Keyword, language, relevance and regular-expression filters
+
+
+@query(f"WITH {HITS} SELECT id, count(DISTINCT term) AS n_terms FROM hits GROUP BY id")
+def keyword_filter(spark, d):
+    return keywords.keyword_filter(lowered(spark, d), SIDES).select("id", F.size("matches").cast("long").alias("n_terms"))
+
+
+@query(f"WITH {HITS} SELECT id, string_agg(side || ': ' || term, ', ' ORDER BY side || ': ' || term) AS matched_patterns FROM hits GROUP BY id")
+def matched_terms(spark, d):
+    return keywords.keyword_filter(lowered(spark, d), SIDES).select("id", T.match_labels(F.col("matches")).alias("matched_patterns"))
+
+
+@query(f"WITH {HITS} SELECT side, term, count(*) AS n FROM hits WHERE lang = 'en' GROUP BY side, term")
+def term_counts(spark, d):
+    kept = keywords.keyword_filter(lowered(spark, d).where("lang = 'en'"), SIDES)
+    return kept.select(F.explode("matches").alias("m")).groupBy("m.side", "m.term").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {HITS} SELECT id, count(DISTINCT term) AS n_terms FROM hits GROUP BY id")
+def keyword_filter_native(spark, d):
+    return keywords.keyword_filter(lowered(spark, d), SIDES, native=True).select("id", F.size("matches").cast("long").alias("n_terms"))
+
+
+@query("SELECT doc_id AS id, source AS subreddit FROM documents WHERE lang = 'en'")
+def language_filter(spark, d):
+    return table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").alias("id"), F.col("source").alias("subreddit"))
+
+
+@query("SELECT source, lang, count(*) AS total, count(*) FILTER (lang = 'en') AS passed, count(*) FILTER (text IS NULL) AS missing FROM documents GROUP BY source, lang")
+def stage_counters(spark, d):
+    return audit.stage_counts(table(spark, d, "documents"), F.col("lang") == "en", ["source", "lang"])
+
+
+@query("SELECT doc_id AS id, regexp_matches(lower(text), '(?i)(^|[^a-z])old([^a-z]|$)|young[a-z]*er|(the|a) (elder|senior)s?|teen(age)?r') AS hit FROM documents WHERE regexp_matches(lower(text), '(?i)(^|[^a-z])old([^a-z]|$)|young[a-z]*er|(the|a) (elder|senior)s?|teen(age)?r')")
+def regex_filter(spark, d):
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lower("text").alias("text"))
+    return keywords.regex_filter(rows, PATTERNS).select("id", F.lit(True).alias("hit"))
+
+
+@query()
+def regex_filter_lookaround(spark, d):
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lower("text").alias("text"))
+    return keywords.regex_filter(rows, [r"\bold\b(?! school)", r"(?<!very )\byoung"]).select("id")
+
+
+#: Logits of a stand-in model by the number of the document.
+LOGITS = "(([doc_id % 7, doc_id % 5, doc_id % 3])::DOUBLE[])"
+
+
+def logits(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", "source", F.array(*[(F.col("doc_id") % k).cast("double") for k in (7, 5, 3)]).alias("x"))
+
+
+@query("SELECT doc_id, CASE WHEN source IN ('src0', 'src1') THEN 1 / (1 + exp((doc_id % 7 - doc_id % 5)::DOUBLE)) > 0.6 ELSE doc_id % 5 > doc_id % 7 END AS relevant FROM documents")
+def relevance_threshold(spark, d):
+    two = S.softmax(F.slice("x", 1, 2))
+    strict, plain = S.is_relevant("race", two), S.is_relevant("age", F.slice("x", 1, 2))
+    return logits(spark, d).select("doc_id", F.when(F.col("source").isin("src0", "src1"), strict).otherwise(plain).alias("relevant"))
+
+
+SOFT = "list_transform({x}, lambda v: exp(v - list_max({x})) / list_sum(list_transform({x}, lambda u: exp(u - list_max({x})))))"
+
+
+@query(f"SELECT doc_id, list_position(x, list_max(x)) - 1 AS best, round(p[1], 6) AS p1, round(p[2], 6) AS p2, round(p[3], 6) AS p3 FROM (SELECT doc_id, x, {SOFT.format(x='x')} AS p FROM (SELECT doc_id, {LOGITS} AS x FROM documents))")
+def softmax_argmax(spark, d):
+    rows = logits(spark, d).withColumn("p", S.softmax(F.col("x")))
+    return rows.select("doc_id", S.argmax(F.col("x")).alias("best"), *[F.round(F.col("p")[k], 6).alias(f"p{k + 1}") for k in range(3)])
+
+
+@query(f"SELECT doc_id, round(q[1], 6) AS p1, round(q[2], 6) AS p2, round(q[3], 6) AS p3 FROM (SELECT doc_id, {SOFT.format(x='p')} AS q FROM (SELECT doc_id, {SOFT.format(x='x')} AS p FROM (SELECT doc_id, {LOGITS} AS x FROM documents)))")
+def double_softmax(spark, d):
+    rows = logits(spark, d).withColumn("p", S.double_softmax(F.col("x")))
+    return rows.select("doc_id", *[F.round(F.col("p")[k], 6).alias(f"p{k + 1}") for k in range(3)])
+
+
+# Text functions
+
+
+@query("SELECT doc_id AS id, md5(replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ')) AS digest FROM documents")
+def text_normalize(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.md5(T.one_line(F.col("text"))).alias("digest"))
+
+
+@query(f"WITH {HITS}, m AS (SELECT id, string_agg(side || ': ' || term, ', ' ORDER BY side || ': ' || term) AS m FROM hits GROUP BY id) SELECT id, list_aggregate(list_transform(list_filter(list_zip(p, range(1, len(p) + 1)), lambda x: list_position(p, x[1]) = x[2]), lambda x: x[1]), 'string_agg', ',') AS matched FROM (SELECT id, string_split(m || ',' || m, ',') AS p FROM m)")
+def match_dedupe(spark, d):
+    rows = keywords.keyword_filter(lowered(spark, d), SIDES).select("id", T.match_labels(F.col("matches")).alias("m"))
+    return rows.select("id", T.distinct_parts(F.concat("m", F.lit(","), "m")).alias("matched"))
+
+
+@query("SELECT doc_id AS id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct, md5(list_aggregate(t, 'string_agg', ' ')) AS digest FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9'']+') AS t FROM documents)")
+def tokenize(spark, d):
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), T.tokens(F.col("text")).alias("t"))
+    return rows.select("id", F.size("t").cast("long").alias("n_tokens"), F.size(F.array_distinct("t")).cast("long").alias("n_distinct"), F.md5(F.array_join("t", " ")).alias("digest"))
+
+
+@query("SELECT conv_id, turn, lower(trim(role)) || chr(10) || md5(lower(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'))) AS stored, CASE WHEN turn > 0 THEN CAST(conv_id AS VARCHAR) ELSE '' END AS parent_id FROM conversations")
+def stored_text(spark, d):
+    rows = table(spark, d, "conversations")
+    parent = F.when(F.col("turn") > 0, T.parent_id("comments", F.col("conv_id").cast("string"))).otherwise(T.parent_id("submissions", F.lit("x")))
+    return rows.select("conv_id", "turn", T.submission_text(F.col("role"), F.md5(T.comment_text(F.col("text")))).alias("stored"), parent.alias("parent_id"))
+
+
+@query("SELECT event_id, strftime(to_timestamp(CAST(epoch(ts) AS BIGINT)) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS time, hour(ts) AS hour FROM events")
+def time_fields(spark, d):
+    rows = table(spark, d, "events")
+    epoch = F.unix_seconds(F.col("ts").cast("timestamp")) + F.when(F.date_part(F.lit("SECONDS"), "ts") % 1 >= 0.5, 1).otherwise(0)
+    text = T.post_time(epoch.cast("string"))
+    spelled = F.when(F.col("event_id") % 3 == 0, F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return rows.select("event_id", text.alias("time"), T.hour_of(spelled).cast("long").alias("hour"))
+
+
+@query(f"WITH {HITS}, cells AS (SELECT id, string_agg(side || ':' || term || ':x', ',' ORDER BY side, term) || ', plain,plain ,' AS cell FROM hits GROUP BY id) SELECT id, string_agg(DISTINCT k, '|' ORDER BY k) AS found, count(DISTINCT k) AS n FROM (SELECT id, CASE WHEN contains(p, 'old:') OR contains(p, 'young:') THEN trim(string_split(p, ':')[1]) || ': ' || trim(string_split(p, ':')[2]) ELSE p END AS k FROM (SELECT id, trim(unnest(string_split(cell, ','))) AS p FROM cells)) WHERE k <> '' GROUP BY id")
+def unique_keywords(spark, d):
+    rows = keywords.keyword_filter(lowered(spark, d), SIDES)
+    parts = F.array_join(F.transform(F.array_sort("matches"), lambda m: F.concat(m["side"], F.lit(":"), m["term"], F.lit(":x"))), ",")
+    cell = F.concat(parts, F.lit(", plain,plain ,"))
+    rows = rows.select("id", F.array_sort(T.unique_keywords(cell, ("old", "young"))).alias("k"))
+    return rows.select("id", F.array_join("k", "|").alias("found"), F.size("k").cast("long").alias("n"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract(props, '$.k') AS BIGINT) > 0")
+def json_count_map(spark, d):
+    return table(spark, d, "events").select("event_id", F.explode(json_counts(F.col("props"))).alias("name", "k")).select("event_id", "k")
+
+
+@query("SELECT 'u' || user_id AS author, 'h:' || lpad(CAST(hour(ts) AS VARCHAR), 2, '0') AS feature, count(*) AS cnt FROM events GROUP BY ALL")
+def hour_count_map(spark, d):
+    per = table(spark, d, "events").groupBy("user_id", F.hour("ts").alias("h")).agg(F.count("*").alias("n"))
+    maps = per.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("h").cast("string"), F.col("n")))).alias("m"))
+    rows = maps.select(F.concat(F.lit("u"), "user_id").alias("author"), F.explode(hour_counts(F.col("m"))).alias("feature", "cnt"))
+    return rows.withColumn("feature", F.concat(F.lit("h:"), "feature"))
+
+
+# Author features, vocabulary and location model
+
+
+def homes_of(rows: DataFrame) -> DataFrame:
+    return rows.select("author", F.concat(F.lit("g"), F.substring("author", 2, 20).cast("long") % 7).alias("location")).distinct()
+
+
+def features_of(spark: SparkSession, d: str) -> DataFrame:
+    return features.author_features(posts_of(spark, d).withColumn("hour", F.hour("time")))
+
+
+def by_location_of(spark: SparkSession, d: str) -> DataFrame:
+    return features.location_features(features_of(spark, d), homes_of(posts_of(spark, d)))
+
+
+@query(f"WITH {FEATURES} SELECT author, feature, cnt FROM author_features")
+def author_features(spark, d):
+    return features_of(spark, d)
+
+
+@query(f"WITH {FEATURES} SELECT author, feature, cnt FROM author_features WHERE feature LIKE 'h:%'")
+def hour_features(spark, d):
+    return features.author_features(posts_of(spark, d).select("author", F.lit("").alias("text"), F.lit("").alias("subreddit"), F.hour("time").alias("hour")))
+
+
+@query(f"WITH {FEATURES} SELECT author, feature, cnt FROM author_features WHERE feature LIKE 's:%'")
+def subreddit_features(spark, d):
+    return features.author_features(posts_of(spark, d).select("author", F.lit("").alias("text"), "subreddit", F.lit(None).cast("int").alias("hour")))
+
+
+@query(f"WITH {FEATURES} SELECT author, feature, cnt * 2 AS cnt FROM author_features WHERE feature LIKE 's:%'")
+def merged_features(spark, d):
+    one = subreddit_features(spark, d)
+    return features.merged_features(one, one)
+
+
+@query(f"WITH {POSTS} SELECT author, id, seen FROM (SELECT author, id, row_number() OVER (PARTITION BY author ORDER BY time, id) AS n, least(count(*) OVER (PARTITION BY author), 5) AS seen FROM posts) WHERE n <= 5")
+def author_first_n(spark, d):
+    first, seen = features.first_posts(posts_of(spark, d).select("author", "id", "time"), 5, ["time", "id"])
+    return first.join(seen, "author").select("author", "id", "seen")
+
+
+@query(f"WITH {FEATURES} SELECT location, feature, cnt FROM by_location")
+def location_feature_sum(spark, d):
+    return by_location_of(spark, d)
+
+
+@query(f"WITH {FEATURES} SELECT location, n, round(n / sum(n) OVER ()::DOUBLE, 9) AS prior FROM (SELECT location, count(*) AS n FROM homes GROUP BY location)")
+def priors_mle(spark, d):
+    return features.priors(homes_of(posts_of(spark, d))).withColumn("prior", F.round("prior", 9))
+
+
+@query(f"WITH {FEATURES}, {PRIORS} SELECT location, n, round(prior, 9) AS prior FROM priors")
+def priors_smoothed(spark, d):
+    return features.priors(homes_of(posts_of(spark, d)), 0.5).withColumn("prior", F.round("prior", 9))
+
+
+@query(f"WITH {FEATURES} SELECT location, n, round((n + 0.5) / (sum(n) OVER () + 0.5 * (count(*) OVER () + 1))::DOUBLE, 9) AS prior FROM (SELECT location, count(*)::DOUBLE AS n FROM homes GROUP BY location)")
+def priors_with_unknown(spark, d):
+    rows = features.priors(homes_of(posts_of(spark, d)), 0.5, unknown=True)
+    return rows.select("location", F.col("n").cast("double").alias("n"), F.round("prior", 9).alias("prior"))
+
+
+@query(f"WITH {FEATURES} SELECT feature, total FROM totals")
+def global_feature_totals(spark, d):
+    return features.feature_totals(by_location_of(spark, d))
+
+
+@query(f"WITH {FEATURES}, {PRIORS}, {MI} SELECT feature, round(mi, 7) AS mi FROM mi")
+def mutual_information(spark, d):
+    mi = features.mutual_information(by_location_of(spark, d), features.priors(homes_of(posts_of(spark, d)), 0.5), LEAST)
+    return mi.withColumn("mi", F.round("mi", 7))
+
+
+@query(f"WITH {FEATURES} SELECT feature, row_number() OVER (ORDER BY total DESC, feature) AS rank FROM totals ORDER BY rank LIMIT {VOCABULARY}")
+def vocab_freq(spark, d):
+    return features.vocabulary(features.feature_totals(by_location_of(spark, d)), VOCABULARY).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(f"""WITH {FEATURES}, {PRIORS}, {MI}, few AS (SELECT feature, round(mi, 9) AS v FROM mi WHERE feature LIKE 'h:%' OR feature LIKE 's:%')
+SELECT feature, row_number() OVER (ORDER BY source, v DESC, feature) AS rank FROM (SELECT feature, 0 AS source, v FROM few UNION ALL SELECT feature, 1, total::DOUBLE FROM totals WHERE feature NOT IN (SELECT feature FROM few)) ORDER BY rank LIMIT {VOCABULARY}""")
+def vocab_mi_backfill(spark, d):
+    by_location = by_location_of(spark, d)
+    mi = features.mutual_information(by_location, features.priors(homes_of(posts_of(spark, d)), 0.5), LEAST).where("feature LIKE 'h:%' OR feature LIKE 's:%'")
+    return features.vocabulary(features.feature_totals(by_location), VOCABULARY, mi).withColumn("rank", F.col("rank").cast("long"))
+
+
+def model_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    rows = posts_of(spark, d)
+    own = features_of(spark, d)
+    homes = homes_of(rows)
+    by_location = features.location_features(own, homes)
+    vocab = features.vocabulary(features.feature_totals(by_location), VOCABULARY).select("feature")
+    known = features.priors(homes, 0.5)
+    params, overrides = location.location_params(by_location, vocab, known, SMOOTHING)
+    return {"features": own, "homes": homes, "vocab": vocab, "priors": known, "params": params, "overrides": overrides, "truth": homes.withColumnRenamed("location", "label")}
+
+
+def scores_of(m: dict[str, DataFrame], observed_only: bool = False) -> DataFrame:
+    return location.scores(m["features"], m["homes"], m["params"], m["overrides"], m["vocab"], m["priors"], SMOOTHING, observed_only)
+
+
+@query(f"WITH {MODEL} SELECT location, round(alpha_sum, 4) AS alpha_sum, round(const, 3) AS const FROM params")
+def location_params(spark, d):
+    return model_of(spark, d)["params"].select("location", F.round("alpha_sum", 4).alias("alpha_sum"), F.round("const", 3).alias("const"))
+
+
+@query(f"WITH {MODEL} SELECT author, location, round(score, 4) AS score FROM scores")
+def dm_score(spark, d):
+    return scores_of(model_of(spark, d)).withColumn("score", F.round("score", 4))
+
+
+@query(f"WITH {MODEL}, compat AS (SELECT author, location, ln(prior) + any_value(const - lgamma(alpha_sum + sums.n)) + sum(lgamma(alpha + cnt)) AS score FROM known JOIN alphas USING (feature) JOIN params USING (location) JOIN priors USING (location) JOIN sums USING (author) GROUP BY author, location, prior) SELECT author, location, round(score, 3) AS score FROM compat")
+def dm_score_training(spark, d):
+    return scores_of(model_of(spark, d), observed_only=True).withColumn("score", F.round("score", 3))
+
+
+@query(f"WITH {MODEL} SELECT author, location, rank FROM ranked WHERE rank <= 10")
+def top_locations(spark, d):
+    return location.top_locations(scores_of(model_of(spark, d)), 10).select("author", "location", F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"WITH {MODEL} SELECT author, location, round(score - (SELECT r.score FROM ranked r WHERE r.author = ranked.author AND r.rank = 2), 4) AS margin FROM ranked WHERE rank = 1")
+def dm_top2_margin(spark, d):
+    m = model_of(spark, d)
+    return location.decisions(scores_of(m), m["homes"].select("author", F.lit(0).alias("seen"))).select("author", "location", F.round("margin", 4).alias("margin"))
+
+
+SEEN = "seen AS (SELECT author, count(*) AS seen FROM posts GROUP BY author)"
+ADMITTED = f"{MODEL}, {SEEN}, best AS (SELECT a.author, a.location, a.score - b.score AS margin FROM ranked a JOIN ranked b ON a.author = b.author AND a.rank = 1 AND b.rank = 2), admitted AS (SELECT author, location FROM best JOIN seen USING (author) WHERE seen >= 10 AND margin >= 1.5)"
+
+
+def admitted_of(spark: SparkSession, d: str) -> DataFrame:
+    seen = posts_of(spark, d).groupBy("author").agg(F.count("*").alias("seen"))
+    return location.decisions(scores_of(model_of(spark, d)), seen).where("cached").select("author", "location")
+
+
+@query(f"WITH {ADMITTED} SELECT author, location FROM admitted")
+def cache_admission(spark, d):
+    return admitted_of(spark, d)
+
+
+CACHE = "cache AS (SELECT DISTINCT author, 'old' AS location, 100::BIGINT AS updated_at FROM posts WHERE CAST(substr(author, 2) AS BIGINT) % 3 = 0)"
+
+
+def cache_of(spark: SparkSession, d: str) -> DataFrame:
+    authors = posts_of(spark, d).select("author").distinct().where(F.substring("author", 2, 20).cast("long") % 3 == 0)
+    return authors.select("author", F.lit("old").alias("location"), F.lit(100).cast("long").alias("updated_at"))
+
+
+@query(f"WITH {FEATURES}, {CACHE} SELECT coalesce(f.author, c.author) AS author, coalesce(f.location, c.location) AS location, coalesce(f.updated_at, c.updated_at) AS updated_at FROM cache c FULL JOIN (SELECT author, location, 200::BIGINT AS updated_at FROM homes WHERE location <> 'g0') f ON f.author = c.author")
+def cache_upsert(spark, d):
+    fresh = homes_of(posts_of(spark, d)).where("location <> 'g0'").withColumn("updated_at", F.lit(200).cast("long"))
+    return location.cache_upsert(cache_of(spark, d), fresh)
+
+
+@query(f"WITH {POSTS}, {CACHE} SELECT id, coalesce(location, '__UNKNOWN__') AS location FROM posts LEFT JOIN cache USING (author)")
+def location_left_join(spark, d):
+    return location.with_locations(posts_of(spark, d).select("id", "author"), cache_of(spark, d)).select("id", "location")
+
+
+@query(f"WITH {POSTS}, {CACHE} SELECT DISTINCT author, location FROM posts JOIN cache USING (author)")
+def cached_authors(spark, d):
+    return posts_of(spark, d).select("author").distinct().join(cache_of(spark, d), "author").select("author", "location")
+
+
+@query(f"WITH {POSTS}, {CACHE} SELECT DISTINCT author FROM posts WHERE author NOT IN (SELECT author FROM cache)")
+def remaining_authors_anti(spark, d):
+    return location.remaining_authors(posts_of(spark, d), cache_of(spark, d))
+
+
+@query(f"WITH {POSTS}, {CACHE} SELECT id FROM posts WHERE author IN (SELECT author FROM cache)")
+def target_authors_semi(spark, d):
+    return posts_of(spark, d).join(cache_of(spark, d), "author", "left_semi").select("id")
+
+
+# Evaluation
+
+
+@query(f"WITH {MEASURED}, k AS (SELECT author, location AS label FROM ranked WHERE rank <= 3), c AS (SELECT t.label, 'tp' AS kind FROM truth t JOIN k USING (author, label) UNION ALL SELECT label, 'fn' FROM truth t WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.author = t.author AND k.label = t.label) UNION ALL SELECT k.label, 'fp' FROM k JOIN truth t ON k.author = t.author AND k.label <> t.label) SELECT label, count(*) FILTER (kind = 'tp') AS tp, count(*) FILTER (kind = 'fp') AS fp, count(*) FILTER (kind = 'fn') AS fn FROM c GROUP BY label")
+def topk_confusion(spark, d):
+    m = model_of(spark, d)
+    return evaluation.confusion(m["truth"], location.top_locations(scores_of(m), 3), 3)
+
+
+ONE = "c AS (SELECT label, count(*) FILTER (hit) AS tp, count(*) FILTER (NOT hit AND side = 'p') AS fp, count(*) FILTER (NOT hit AND side = 't') AS fn FROM (SELECT r.location AS label, r.location = t.label AS hit, 'p' AS side FROM ranked r JOIN truth t USING (author) WHERE rank = 1 UNION ALL SELECT t.label, FALSE, 't' FROM ranked r JOIN truth t USING (author) WHERE rank = 1 AND r.location <> t.label) GROUP BY label), e AS (SELECT tp, fp, fn, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp)::DOUBLE END AS p, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn)::DOUBLE END AS r FROM c), f AS (SELECT *, CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END AS f FROM e)"
+
+
+@query(f"WITH {MEASURED}, {ONE}, s AS (SELECT sum(tp) / sum(tp + fp)::DOUBLE AS p, sum(tp) / sum(tp + fn)::DOUBLE AS r, avg(p) AS pm, avg(r) AS rm, avg(f) AS fm FROM f) SELECT round(p, 6) AS precision_micro, round(r, 6) AS recall_micro, round(2 * p * r / (p + r), 6) AS f1_micro, round(pm, 6) AS precision_macro, round(rm, 6) AS recall_macro, round(fm, 6) AS f1_macro FROM s")
+def prf_micro_macro(spark, d):
+    m = model_of(spark, d)
+    out = evaluation.prf(evaluation.confusion(m["truth"], location.top_locations(scores_of(m), 1)))
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@query(f"WITH {MEASURED}, z AS (SELECT author, max(score) AS top FROM scores GROUP BY author), n AS (SELECT author, any_value(top) + ln(sum(exp(score - top))) AS norm FROM scores JOIN z USING (author) GROUP BY author) SELECT count(*) AS n, round(avg((rank <= 1)::INT), 6) AS top1_acc, round(avg((rank <= 5)::INT), 6) AS top5_acc, round(avg((rank <= 10)::INT), 6) AS top10_acc, round(avg(CASE WHEN rank <= 10 THEN 1.0::DOUBLE / rank ELSE 0 END), 6) AS mrr, round(avg(norm - score), 4) AS log_loss FROM truth t JOIN ranked r ON t.author = r.author AND t.label = r.location JOIN n ON n.author = t.author")
+def hit_at_k_mrr(spark, d):
+    m = model_of(spark, d)
+    out = evaluation.ranking(m["truth"], scores_of(m))
+    return out.select("n", *[F.round(c, 4 if c == "log_loss" else 6).alias(c) for c in out.columns[1:]])
+
+
+@query(f"WITH {MODEL} SELECT round(avg(coalesce(n, 0))::DOUBLE, 6) AS avg_in_vocab_tokens FROM homes LEFT JOIN sums USING (author)")
+def in_vocab_tokens(spark, d):
+    m = model_of(spark, d)
+    return evaluation.in_vocabulary(m["features"], m["homes"], m["vocab"]).select(F.round("avg_in_vocab_tokens", 6).alias("avg_in_vocab_tokens"))
+
+
+@query(f"WITH {FEATURES} SELECT author, CASE WHEN location IN ('g0', 'g1', 'g2') THEN location ELSE '__UNKNOWN__' END AS label FROM homes")
+def unseen_labels(spark, d):
+    homes = homes_of(posts_of(spark, d))
+    return evaluation.seen_labels(homes.withColumnRenamed("location", "label"), homes.where("location IN ('g0', 'g1', 'g2')"), location.UNKNOWN)
+
+
+def raters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, d, "labels")
+    return rows.select("doc_id", F.col("quality").alias("rating")), rows.select("doc_id", F.col("toxic").alias("rating"))
+
+
+@query("SELECT count(*) AS n, round((po - pe) / (1 - pe), 6) AS cohen_kappa, round(any_value(r), 6) AS pearson FROM labels, (SELECT avg((quality = toxic)::INT) AS po, corr(quality::DOUBLE, toxic::DOUBLE) AS r, avg(quality) * avg(toxic) + (1 - avg(quality)) * (1 - avg(toxic)) AS pe FROM labels) GROUP BY po, pe")
+def rater_agreement(spark, d):
+    out = evaluation.agreement(*raters(spark, d))
+    return out.select("n", F.round("cohen_kappa", 6).alias("cohen_kappa"), F.round("pearson", 6).alias("pearson"))
+
+
+@query("SELECT doc_id, 0 AS rater FROM labels WHERE doc_id % 3 <> 0 AND doc_id % 5 = 0 UNION ALL SELECT doc_id, 1 FROM labels WHERE doc_id % 3 = 0 AND doc_id % 5 <> 0")
+def unmatched_ratings(spark, d):
+    a, b = raters(spark, d)
+    return evaluation.unmatched(a.where("doc_id % 5 = 0"), b.where("doc_id % 3 = 0"))
+
+
+@query("SELECT doc_id, greatest(quality, toxic) AS label FROM labels")
+def either_rater(spark, d):
+    a, b = raters(spark, d)
+    return a.unionByName(b).groupBy("doc_id").agg(F.max((F.col("rating") != 0).cast("int")).alias("label"))
+
+
+@query("SELECT quality AS label, count(*) AS n, round(any_value(t) / (any_value(k) * count(*))::DOUBLE, 9) AS weight FROM labels, (SELECT count(*) AS t, count(DISTINCT quality) AS k FROM labels) GROUP BY quality")
+def class_weights(spark, d):
+    return evaluation.class_weights(table(spark, d, "labels"), "quality").withColumn("weight", F.round("weight", 9))
+
+
+@query("SELECT round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM (SELECT (count(*) FILTER (quality = 1 AND toxic = 1))::DOUBLE AS tp, (count(*) FILTER (quality = 0 AND toxic = 1))::DOUBLE AS fp, (count(*) FILTER (quality = 1 AND toxic = 0))::DOUBLE AS fn FROM labels)")
+def binary_f1(spark, d):
+    out = evaluation.binary_prf(table(spark, d, "labels"), "quality", "toxic")
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@query("SELECT label, count(*) AS n FROM embeddings GROUP BY label")
+def label_distribution(spark, d):
+    return table(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("SELECT location, name FROM (SELECT source AS location, lang AS name, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS k FROM documents GROUP BY source, lang) WHERE k = 1")
+def display_names(spark, d):
+    from corvane.sources.tables import display_names as named
+
+    rows = table(spark, d, "documents").select("source", F.col("lang").alias("city"), F.lit("").alias("state"))
+    return named(rows, "source", "city", "state")
+
+
+@query("SELECT cfg_key, f1_macro, top5, mrr, logloss FROM (SELECT o_custkey AS cfg_key, count(*) AS f1_macro, count(DISTINCT o_orderstatus) AS top5, max(o_orderkey) AS mrr, min(o_orderkey) AS logloss FROM orders GROUP BY o_custkey) ORDER BY f1_macro DESC, top5 DESC, mrr DESC, logloss, cfg_key LIMIT 1")
+def best_config(spark, d):
+    rows = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("cfg_key")).agg(F.count("*").alias("f1_macro"), F.countDistinct("o_orderstatus").alias("top5"), F.max("o_orderkey").alias("mrr"), F.min("o_orderkey").alias("logloss"))
+    return evaluation.best_config(rows)
+
+
+@query(f"WITH {FEATURES}, {PRIORS} SELECT location, n FROM priors ORDER BY n DESC, location LIMIT 3")
+def truncated_locations(spark, d):
+    return features.priors(homes_of(posts_of(spark, d)), 0.5).orderBy(F.desc("n"), "location").limit(3).select("location", "n")
+
+
+# Sampling
+
+COUNTED = "counted AS (SELECT id, strftime(time, '%Y-%m-%d') AS day, (SELECT count(*) FROM terms WHERE contains(lower(text), term)) AS n FROM posts)"
+SAMPLED = f"""{POSTS}, {TERMS}, {COUNTED}, sampled AS (
+  SELECT id, day, n, 'top' AS sample_type FROM counted QUALIFY row_number() OVER (PARTITION BY day ORDER BY n DESC, id) <= 3
+  UNION ALL SELECT id, day, n, 'bottom' FROM counted QUALIFY row_number() OVER (PARTITION BY day ORDER BY n, id) <= 3
+  UNION ALL SELECT id, day, n, 'random' FROM counted QUALIFY row_number() OVER (PARTITION BY day ORDER BY md5('sample:' || id), id) <= 3)"""
+
+
+def counted_of(spark: SparkSession, d: str) -> DataFrame:
+    return lowered(spark, d).select("id", F.date_format("time", "yyyy-MM-dd").alias("day"), F.size(keywords.keyword_matches(F.col("text"), SIDES)).cast("long").alias("n"))
+
+
+def sampled_of(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.stratified_sample(counted_of(spark, d), "day", "n", "id", sampling.per_stratum(300, 30))
+
+
+@query(f"WITH {SAMPLED} SELECT id, day, n FROM sampled WHERE sample_type = 'top'")
+def top_reservoir(spark, d):
+    return sampling.reservoir(counted_of(spark, d), "day", 3, [F.desc("n"), "id"])
+
+
+@query(f"WITH {SAMPLED} SELECT id, day, n FROM sampled WHERE sample_type = 'bottom'")
+def bottom_reservoir(spark, d):
+    return sampling.reservoir(counted_of(spark, d), "day", 3, ["n", "id"])
+
+
+@query(f"WITH {SAMPLED} SELECT id, day, n FROM sampled WHERE sample_type = 'random'")
+def hash_sample(spark, d):
+    return sampling.reservoir(counted_of(spark, d), "day", 3, [sampling.hash_order(F.col("id"), "sample:"), "id"])
+
+
+@query(f"WITH {SAMPLED} SELECT id, day, n, sample_type, row_number() OVER (ORDER BY md5(sample_type || ':' || id)) + 99999 AS sample_id FROM sampled")
+def sample_ids(spark, d):
+    rows = sampling.numbered(sampled_of(spark, d), [F.md5(F.concat("sample_type", F.lit(":"), F.col("id").cast("string")))])
+    return rows.withColumn("sample_id", F.col("sample_id").cast("long"))
+
+
+@query(f"WITH {SAMPLED} SELECT id, annotator, row_number() OVER (PARTITION BY annotator ORDER BY md5('shuffle:' || annotator || ':' || id), id) AS position FROM sampled, (VALUES ('a'), ('b')) v(annotator) WHERE sample_type = 'top'")
+def annotator_shuffle(spark, d):
+    rows = sampling.for_annotators(top_reservoir(spark, d), ["a", "b"], "id")
+    return rows.select("id", "annotator", F.col("position").cast("long").alias("position"))
+
+
+@query("SELECT doc_id, CASE WHEN r <= floor(n * 0.8) THEN 'train' WHEN r <= floor(n * 0.8) + floor(n * 0.1) THEN 'valid' ELSE 'test' END AS split FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('split:' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents)")
+def exact_split_80_10_10(spark, d):
+    return sampling.exact_split(table(spark, d, "documents").select("doc_id"), "doc_id").select("doc_id", "split")
+
+
+@query("SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) = 1")
+def first_occurrence(spark, d):
+    return sampling.first_by_id(table(spark, d, "conversations").select("conv_id", "turn", "role"), ["conv_id", "role"], ["turn"])
+
+
+# Months, numbering, resuming
+
+
+@query("SELECT y AS year, m AS month FROM (SELECT unnest([2023, 2024]) AS y), range(1, 13) r(m) WHERE NOT EXISTS (SELECT 1 FROM events WHERE year(ts) = y AND month(ts) = m)")
+def missing_months(spark, d):
+    rows = audit.missing_months(table(spark, d, "events"), F.col("ts"), [2023, 2024])
+    return rows.select("year", F.col("month").cast("long").alias("month"))
+
+
+@query("SELECT r AS rank, (2015 * 12 + 2 + o) // 12 AS year, (2015 * 12 + 2 + o) % 12 + 1 AS month FROM (SELECT o, row_number() OVER (ORDER BY abs(o), o) AS r FROM range(-30, 31) t(o)) WHERE r <= 60")
+def month_spiral(spark, d):
+    months = location.month_spiral(2015, 3)
+    return spark.createDataFrame([(k + 1, y, m) for k, (y, m) in enumerate(months)], "rank long, year long, month long")
+
+
+@query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS source_row FROM conversations")
+def source_rows(spark, d):
+    return audit.with_source_row(table(spark, d, "conversations"), "conv_id", ["turn"]).select("conv_id", "turn", "source_row")
+
+
+@query("SELECT conv_id, turn FROM conversations WHERE turn >= 2")
+def resume_guard(spark, d):
+    rows = table(spark, d, "conversations").select("conv_id", "turn")
+    return audit.resumed(rows, rows.where("turn < 2"), ["conv_id", "turn"])
+
+
+@query("SELECT user_id AS id, CASE WHEN user_id % 4 = 0 THEN '[deleted]' WHEN user_id % 4 = 1 THEN ' ' ELSE 'u' || user_id END AS author FROM events WHERE user_id % 4 > 1")
+def author_guard(spark, d):
+    k = F.col("user_id") % 4
+    rows = table(spark, d, "events").select(F.col("user_id").alias("id"), F.when(k == 0, "[deleted]").when(k == 1, " ").otherwise(F.concat(F.lit("u"), "user_id")).alias("author"))
+    return rows.where(T.is_author(F.col("author")))
+
+
+@query("SELECT source AS name FROM documents WHERE lang = 'en' UNION SELECT source FROM documents WHERE lang = 'fr'")
+def set_union(spark, d):
+    docs = table(spark, d, "documents")
+    return docs.where("lang = 'en'").select(F.col("source").alias("name")).union(docs.where("lang = 'fr'").select("source")).distinct()
+
+
+@query("SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def set_difference(spark, d):
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).distinct().join(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k", "left_anti")
+
+
+# Labelers. A document's sentences are its clauses; a sentence's length picks its label.
+
+NAMED = ", ".join(f"({k}, '{name}', '{g}', '{e}', '{b}')" for k, (name, g, e, b) in enumerate(labels.CLAUSE_LABELS))
+CLAUSES = f"attributes(k, label, g, e, b) AS (VALUES {NAMED}), parts AS (SELECT doc_id, unnest(list_filter(string_split(text, chr(10)), lambda s: s <> '')) AS s FROM documents), clauses AS (SELECT doc_id, label, g, e, b FROM parts JOIN attributes ON k = length(s) % 18)"
+
+
+def labelled_of(spark: SparkSession, d: str) -> DataFrame:
+    parts = F.filter(F.split("text", "\n"), lambda s: s != "")
+    names = F.array(*[F.lit(x[0]) for x in labels.CLAUSE_LABELS])
+    return table(spark, d, "documents").select("doc_id", F.transform(parts, lambda s: F.element_at(names, (F.length(s) % 18 + 1).cast("int"))).alias("labels"))
+
+
+COUNT_SQL = {"genericity_generic": "g = 'generic'", "genericity_specific": "g = 'specific'", "eventivity_stative": "e = 'stative'", "eventivity_dynamic": "e = 'dynamic'", "boundedness_static": "b = 'static'", "boundedness_episodic": "b = 'episodic'", "habitual": "b = 'habitual'", "NA": "b = 'NA'"}
+
+
+@query(f"WITH {CLAUSES} SELECT doc_id, {', '.join(f'count(*) FILTER ({test}) AS {name}_count' for name, test in COUNT_SQL.items())} FROM clauses GROUP BY doc_id")
+def clause_counts(spark, d):
+    rows = labels.clause_features(labelled_of(spark, d).where(F.size("labels") > 0), F.col("labels"))
+    return rows.select("doc_id", *[f"{name}_count" for name in COUNT_SQL])
+
+
+@query(f"WITH {CLAUSES} SELECT doc_id, {', '.join(f'round(count(*) FILTER ({test}) / count(*)::DOUBLE, 9) AS {name}_proportion' for name, test in COUNT_SQL.items())} FROM clauses GROUP BY doc_id")
+def clause_proportions(spark, d):
+    rows = labels.clause_features(labelled_of(spark, d).where(F.size("labels") > 0), F.col("labels"))
+    return rows.select("doc_id", *[F.round(f"{name}_proportion", 9).alias(f"{name}_proportion") for name in COUNT_SQL])
+
+
+@query(f"WITH {CLAUSES} SELECT doc_id, label, g AS genericity, e AS eventivity, b AS boundedness, count(*) AS n FROM clauses GROUP BY ALL")
+def clause_lookup(spark, d):
+    rows = labelled_of(spark, d).select("doc_id", F.explode("labels").alias("label"))
+    names = spark.createDataFrame(list(labels.CLAUSE_LABELS), "label string, genericity string, eventivity string, boundedness string")
+    return rows.join(F.broadcast(names), "label").groupBy("doc_id", "label", "genericity", "eventivity", "boundedness").agg(F.count("*").alias("n"))
+
+
+@query()
+def clause_reconstruct(spark, d):
+    words = F.slice(F.split("text", r"\s+"), 1, 60)
+    rows = table(spark, d, "conversations").select("conv_id", "turn", words.alias("w"), F.transform(words, lambda w: F.length(w) % 3).alias("t"))
+    return rows.select("conv_id", "turn", labels.clauses(F.col("w"), F.col("t")).alias("clauses"))
+
+
+@query()
+def sentence_packing(spark, d):
+    return table(spark, d, "documents").select("doc_id", labels.snippets(labels.sentences(F.col("text"))).alias("snippets"))
+
+
+POLARITY = labels.lexicon_scorer(("the", "good", "of"), ("and", "bad", "to"))
+
+
+@query("WITH s AS (SELECT doc_id, unnest(list_filter(string_split(text, chr(10)), lambda s: s <> '')) AS s FROM documents), c AS (SELECT doc_id, len(list_filter(regexp_extract_all(lower(s), '[a-z0-9'']+'), lambda w: w IN ('the', 'good', 'of'))) AS up, len(list_filter(regexp_extract_all(lower(s), '[a-z0-9'']+'), lambda w: w IN ('and', 'bad', 'to'))) AS down FROM s), p AS (SELECT doc_id, CASE WHEN up + down = 0 THEN 0.0 ELSE (up - down) / (up + down)::DOUBLE END AS x FROM c) SELECT doc_id, count(*) FILTER (x > 0.05) AS sentiment_pos, count(*) FILTER (x BETWEEN -0.05 AND 0.05) AS sentiment_neu, count(*) FILTER (x < -0.05) AS sentiment_neg, round(avg(x), 6) AS sentiment_compound FROM p GROUP BY doc_id")
+def sentence_sentiment(spark, d):
+    lines = table(spark, d, "documents").select("doc_id", F.explode(F.filter(F.split("text", "\n"), lambda s: s != "")).alias("s")).withColumn("x", POLARITY(F.col("s")))
+    test = lambda c, name: F.count_if(c).alias(name)
+    x = F.col("x")
+    return lines.groupBy("doc_id").agg(test(x > 0.05, "sentiment_pos"), test((x <= 0.05) & (x >= -0.05), "sentiment_neu"), test(x < -0.05, "sentiment_neg"), F.round(F.avg("x"), 6).alias("sentiment_compound"))
+
+
+@query()
+def emotion_columns(spark, d):
+    return labels.emotions(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
+
+
+@query("SELECT doc_id, CASE WHEN l1 > l0 THEN 'Moralized' ELSE 'Non-Moralized' END AS moralization FROM (SELECT doc_id, ('0x' || substr(md5('moralization:0:' || t), 1, 6))::BIGINT AS l0, ('0x' || substr(md5('moralization:1:' || t), 1, 6))::BIGINT AS l1 FROM (SELECT doc_id, replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ') AS t FROM documents))")
+def moralization_labels(spark, d):
+    return labels.moralized(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
+
+
+@query()
+def post_pipeline(spark, d):
+    from corvane.plans.pipeline import Plan
+
+    return Plan("age", SIDES, [*PATTERNS, "the", "this"]).run(lowered(spark, d)).drop("time")
