@@ -14,7 +14,7 @@ def load_terms(spark: SparkSession, path: str, keep_mark: bool = False) -> list[
     A byte-order mark is dropped, unless keep_mark: then it stays part of the first term, which so hardly ever matches.
     A list is configuration of a few hundred lines; it is read to the driver.
     """
-    lines = spark.read.option("wholetext", True).text(path).first()
+    lines = spark.read.text(path, wholetext=True).first()
     text = (lines[0] if lines else "") if keep_mark else (lines[0] if lines else "").removeprefix("﻿")
     return [t for line in text.split("\n") if (t := line.strip("\r").lower()).strip()]
 
