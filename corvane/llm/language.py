@@ -116,10 +116,17 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[
 
 
 def training_sample(docs: DataFrame, id_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(lang, text) of at most `rows` documents of each language: those of the least hash of their id. The ids are chosen without their texts."""
-    ids = docs.where("lang IS NOT NULL").select("lang", F.col(id_col).alias("__id"))
-    chosen = ids.withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("__id"), "__id"))).where(f"__n <= {rows}").select(F.col("__id").alias("__chosen")).distinct()
-    chosen = written(chosen, "chosen")  # rows times languages: small enough to be broadcast by Spark's own check of its size
+    """(lang, text) of at most `rows` documents of each language: those of the least hash of their id.
+
+    The ids are chosen without their texts. A language's count says which part of the hashes holds its first `rows`, with room
+    to spare, and only ids in that part are ranked; so no task ranks a language's every id.
+    """
+    ids = docs.where("lang IS NOT NULL").select("lang", F.col(id_col).alias("__id"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)).alias("__hash"))
+    share = ids.groupBy("lang").agg(F.count("*").alias("__all")).select("lang", (F.lit(float(1 << 40)) * (rows + 8 * rows**0.5 + 64) / F.col("__all")).alias("__most"))
+    share = written(share, "shares")  # a row for each language: broadcast if Spark finds it small, so that ids aren't dealt out by language
+    first = ids.join(share, "lang").where("__hash <= __most").withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy("__hash", "__id")))
+    # rows times languages: small enough to be broadcast by Spark's own check of its size
+    chosen = written(first.where(f"__n <= {rows}").select(F.col("__id").alias("__chosen")).distinct(), "chosen")
     return docs.where("lang IS NOT NULL").join(chosen, F.col(id_col) == F.col("__chosen"), "left_semi").select("lang", "text")
 
 
