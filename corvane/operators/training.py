@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from corvane.functions.scores import is_relevant
 from corvane.functions.text import one_line, tokens
 from corvane.operators import evaluation, features, location
+from corvane.sources.scratch import written
 
 
 def fit_classifier(rows: DataFrame, label: str = "label", text: str = "text", features_count: int = 1 << 16) -> PipelineModel:
@@ -69,7 +70,7 @@ def fit_location(own: DataFrame, homes: DataFrame, config: Config, kappa: float
     by = features.location_features(own, homes)
     known = features.priors(homes, kappa)
     mi = features.mutual_information(by, known, config.min_total_count) if config.selector == "mi" else None
-    vocab = features.vocabulary(features.feature_totals(by), config.vocab_size, mi).select("feature")
+    vocab = written(features.vocabulary(features.feature_totals(by), config.vocab_size, mi).select("feature"), "vocab")
     params, overrides = location.location_params(by, vocab, known, config.smoothing)
     return {"params": params, "overrides": overrides, "vocab": vocab, "priors": known}
 
@@ -77,7 +78,7 @@ def fit_location(own: DataFrame, homes: DataFrame, config: Config, kappa: float
 def measure(model: dict[str, DataFrame], own: DataFrame, truth: DataFrame, config: Config, observed_only: bool = True) -> tuple[float, float, float, float]:
     """f1_macro at 1, top-5 accuracy, mean reciprocal rank and log loss on users (author, label)."""
     seen = evaluation.seen_labels(truth, model["priors"], location.UNKNOWN)
-    scored = location.scores(own, truth, model["params"], model["overrides"], model["vocab"], model["priors"], config.smoothing, observed_only)
+    scored = written(location.scores(own, truth, model["params"], model["overrides"], model["vocab"], model["priors"], config.smoothing, observed_only), "scores")
     f1 = evaluation.prf(evaluation.confusion(seen, location.top_locations(scored, 1))).first()["f1_macro"]
     ranks = evaluation.ranking(seen, scored).first()
     return f1, ranks["top5_acc"], ranks["mrr"], ranks["log_loss"]

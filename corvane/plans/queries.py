@@ -14,6 +14,7 @@ from corvane.functions import scores as S
 from corvane.functions import text as T
 from corvane.operators import audit, evaluation, features, keywords, labels, location, sampling
 from corvane.sources.posts import posts as posts_of
+from corvane.sources.scratch import written
 from corvane.sources.tables import hour_counts, json_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,33 +302,32 @@ def vocab_mi_backfill(spark, d):
 
 
 def model_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    rows = posts_of(spark, d)
-    own = features_of(spark, d)
-    homes = homes_of(rows)
+    own = written(features_of(spark, d), "features")
+    homes = written(homes_of(posts_of(spark, d)), "homes")
     by_location = features.location_features(own, homes)
-    vocab = features.vocabulary(features.feature_totals(by_location), VOCABULARY).select("feature")
+    vocab = written(features.vocabulary(features.feature_totals(by_location), VOCABULARY).select("feature"), "vocab")
     known = features.priors(homes, 0.5)
     params, overrides = location.location_params(by_location, vocab, known, SMOOTHING)
     return {"features": own, "homes": homes, "vocab": vocab, "priors": known, "params": params, "overrides": overrides, "truth": homes.withColumnRenamed("location", "label")}
 
 
 def scores_of(m: dict[str, DataFrame], observed_only: bool = False) -> DataFrame:
-    return location.scores(m["features"], m["homes"], m["params"], m["overrides"], m["vocab"], m["priors"], SMOOTHING, observed_only)
+    return written(location.scores(m["features"], m["homes"], m["params"], m["overrides"], m["vocab"], m["priors"], SMOOTHING, observed_only), "scores")
 
 
-@query(f"WITH {MODEL} SELECT location, round(alpha_sum, 4) AS alpha_sum, round(const, 3) AS const FROM params")
+@query(f"WITH {MODEL} SELECT location, round(alpha_sum, 4) AS alpha_sum, round(const, 2) AS const FROM params")
 def location_params(spark, d):
-    return model_of(spark, d)["params"].select("location", F.round("alpha_sum", 4).alias("alpha_sum"), F.round("const", 3).alias("const"))
+    return model_of(spark, d)["params"].select("location", F.round("alpha_sum", 4).alias("alpha_sum"), F.round("const", 2).alias("const"))
 
 
-@query(f"WITH {MODEL} SELECT author, location, round(score, 4) AS score FROM scores")
+@query(f"WITH {MODEL} SELECT author, location, round(score, 2) AS score FROM scores")
 def dm_score(spark, d):
-    return scores_of(model_of(spark, d)).withColumn("score", F.round("score", 4))
+    return scores_of(model_of(spark, d)).withColumn("score", F.round("score", 2))
 
 
-@query(f"WITH {MODEL}, compat AS (SELECT author, location, ln(prior) + any_value(const - lgamma(alpha_sum + sums.n)) + sum(lgamma(alpha + cnt)) AS score FROM known JOIN alphas USING (feature) JOIN params USING (location) JOIN priors USING (location) JOIN sums USING (author) GROUP BY author, location, prior) SELECT author, location, round(score, 3) AS score FROM compat")
+@query(f"WITH {MODEL}, compat AS (SELECT author, location, ln(prior) + any_value(const - lgamma(alpha_sum + sums.n)) + sum(lgamma(alpha + cnt)) AS score FROM known JOIN alphas USING (feature) JOIN params USING (location) JOIN priors USING (location) JOIN sums USING (author) GROUP BY author, location, prior) SELECT author, location, round(score, 2) AS score FROM compat")
 def dm_score_training(spark, d):
-    return scores_of(model_of(spark, d), observed_only=True).withColumn("score", F.round("score", 3))
+    return scores_of(model_of(spark, d), observed_only=True).withColumn("score", F.round("score", 2))
 
 
 @query(f"WITH {MODEL} SELECT author, location, rank FROM ranked WHERE rank <= 10")
@@ -335,10 +335,10 @@ def top_locations(spark, d):
     return location.top_locations(scores_of(model_of(spark, d)), 10).select("author", "location", F.col("rank").cast("long").alias("rank"))
 
 
-@query(f"WITH {MODEL} SELECT author, location, round(score - (SELECT r.score FROM ranked r WHERE r.author = ranked.author AND r.rank = 2), 4) AS margin FROM ranked WHERE rank = 1")
+@query(f"WITH {MODEL} SELECT author, location, round(score - (SELECT r.score FROM ranked r WHERE r.author = ranked.author AND r.rank = 2), 3) AS margin FROM ranked WHERE rank = 1")
 def dm_top2_margin(spark, d):
     m = model_of(spark, d)
-    return location.decisions(scores_of(m), m["homes"].select("author", F.lit(0).alias("seen"))).select("author", "location", F.round("margin", 4).alias("margin"))
+    return location.decisions(scores_of(m), m["homes"].select("author", F.lit(0).alias("seen"))).select("author", "location", F.round("margin", 3).alias("margin"))
 
 
 SEEN = "seen AS (SELECT author, count(*) AS seen FROM posts GROUP BY author)"
