@@ -25,7 +25,7 @@ ORACLE: dict[str, str] = {}
 SIDES = [("old", ["old", "elder", "senior", "aged ", "retire", "this"]), ("young", ["young", "teen", "kid", "child", "this"])]
 PATTERNS = ["(^|[^a-z])old([^a-z]|$)", "young[a-z]*er", "(the|a) (elder|senior)s?", "teen(age)?r"]
 SMOOTHING = location.Smoothing(0.1, 0.5, 2.0)
-VOCABULARY = 400
+VOCABULARY = 50_000
 LEAST = 3
 
 POSTS = "posts AS (SELECT doc_id AS id, text, lang, source AS subreddit, 'u' || user_id AS author, ts AS time FROM documents JOIN events ON doc_id = event_id)"
@@ -355,11 +355,12 @@ def cache_admission(spark, d):
     return admitted_of(spark, d)
 
 
-CACHE = "cache AS (SELECT DISTINCT author, 'old' AS location, 100::BIGINT AS updated_at FROM posts WHERE CAST(substr(author, 2) AS BIGINT) % 3 = 0)"
+#: The cache has the authors of French posts.
+CACHE = "cache AS (SELECT DISTINCT author, 'old' AS location, 100::BIGINT AS updated_at FROM posts WHERE lang = 'fr')"
 
 
 def cache_of(spark: SparkSession, d: str) -> DataFrame:
-    authors = posts_of(spark, d).select("author").distinct().where(F.substring("author", 2, 20).cast("long") % 3 == 0)
+    authors = posts_of(spark, d).where("lang = 'fr'").select("author").distinct()
     return authors.select("author", F.lit("old").alias("location"), F.lit(100).cast("long").alias("updated_at"))
 
 
@@ -438,10 +439,10 @@ def rater_agreement(spark, d):
     return out.select("n", F.round("cohen_kappa", 6).alias("cohen_kappa"), F.round("pearson", 6).alias("pearson"))
 
 
-@query("SELECT doc_id, 0 AS rater FROM labels WHERE doc_id % 3 <> 0 AND doc_id % 5 = 0 UNION ALL SELECT doc_id, 1 FROM labels WHERE doc_id % 3 = 0 AND doc_id % 5 <> 0")
+@query("SELECT doc_id, 0 AS rater FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, 1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def unmatched_ratings(spark, d):
-    a, b = raters(spark, d)
-    return evaluation.unmatched(a.where("doc_id % 5 = 0"), b.where("doc_id % 3 = 0"))
+    one = raters(spark, d)[0]
+    return evaluation.unmatched(one, table(spark, d, "documents").select("doc_id", F.lit(0).alias("rating")))
 
 
 @query("SELECT doc_id, greatest(quality, toxic) AS label FROM labels")
@@ -619,7 +620,7 @@ def clause_lookup(spark, d):
 
 @query()
 def clause_reconstruct(spark, d):
-    words = F.slice(F.split("text", r"\s+"), 1, 60)
+    words = F.split("text", r"\s+")
     rows = table(spark, d, "conversations").select("conv_id", "turn", words.alias("w"), F.transform(words, lambda w: F.length(w) % 3).alias("t"))
     return rows.select("conv_id", "turn", labels.clauses(F.col("w"), F.col("t")).alias("clauses"))
 
