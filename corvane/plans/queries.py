@@ -14,8 +14,9 @@ from corvane.functions import scores as S
 from corvane.functions import text as T
 from corvane.operators import audit, evaluation, features, keywords, labels, location, sampling
 from corvane.sources.posts import posts as posts_of
-from corvane.sources.scratch import written
+from corvane.sources.scratch import scratch_folder, written
 from corvane.sources.tables import hour_counts, json_counts
+from corvane.streaming.stages import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -656,3 +657,11 @@ def post_pipeline(spark, d):
     from corvane.plans.pipeline import Plan
 
     return Plan("age", SIDES, [*PATTERNS, "the", "this"]).run(lowered(spark, d)).drop("time")
+
+
+@query("SELECT doc_id, source FROM documents WHERE lang = 'en'")
+def streaming_filter(spark, d):
+    """The language filter as a stream over the files of documents that ends when all are read. A glob stands for one file as well as for a folder."""
+    folder = scratch_folder(spark, "stream")
+    run_available(spark, f"{d}/documents.parque[t]", "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG", lambda rows: rows.where("lang = 'en'").select("doc_id", "source"), f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.schema("doc_id LONG, source STRING").parquet(f"{folder}/out")

@@ -5,18 +5,33 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's folder under spark.checkpoint.dir, or under a local one where that is unset, as in tests. It is deleted when the
+    driver's JVM ends."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corvane-"))
+    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or context.getCheckpointDir()}/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return folder
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
-    """rows as a Parquet table under spark.checkpoint.dir (a local folder where that is unset, as in tests).
+    """rows as a Parquet table in the scratch folder.
 
     What several branches of a plan read is computed once, survives the loss of executors, and has known sizes for the planner.
     """
-    spark = rows.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corvane-"))
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(rows.sparkSession, name)
     rows.write.parquet(path)
-    return spark.read.parquet(path)
+    return rows.sparkSession.read.parquet(path)
