@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from corvane.sources.scratch import application_folder, scratch_folder, written
+
 #: Maps a UTF-8 byte to itself if it belongs to a word, A-Z to a-z and every other byte to a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
+__all__ = ["WORD_BYTES", "blocks", "mix64", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,27 +22,12 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests on one machine)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corvane-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-
-
 def settled(df: DataFrame) -> DataFrame:
     """df, computed once and written to the shared checkpoint folder: later readers survive the loss of any executor."""
-    shared_dir(df.sparkSession)
+    application_folder(df.sparkSession)  # sets the checkpoint folder where it is unset
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser over uint64."""
     x = x ^ (x >> np.uint64(30))
