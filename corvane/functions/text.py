@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Python's str.strip sees it: Unicode's, and the four information separators.
-SPACE = r"[\s\x1c-\x1f]"
+#: White space as Python's str.strip sees it.
+SPACE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE))
 
 
 def comment_text(body: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions.scores import argmax, double_softmax, ratio
+from corvane.functions.scores import argmax, double_softmax, let, ratio
 
 #: name -> a function from a text column to a column of scores. Neural models are registered by their users.
 SCORERS: dict[str, Callable[[Column], Column]] = {}
@@ -27,8 +27,8 @@ def hashed_scorer(seed: str, outputs: int) -> Callable[[Column], Column]:
     """A deterministic stand-in for a model: logits from -2 to 2 by the text's hash. It knows nothing of the text's meaning."""
 
     def score(text: Column) -> Column:
-        one = lambda k: F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:{k}:"), F.coalesce(text, F.lit("")))), 1, 6), 16, 10).cast("double") / 4194304.0 - 2.0
-        return F.array(*[one(k) for k in range(outputs)])
+        one = lambda digest, k: F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:{k}:"), digest)), 1, 6), 16, 10).cast("double") / 4194304.0 - 2.0
+        return let(F.md5(F.coalesce(text, F.lit(""))), lambda digest: F.array(*[one(digest, k) for k in range(outputs)]))
 
     return score
 

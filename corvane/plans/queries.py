@@ -285,7 +285,7 @@ def global_feature_totals(spark, d):
 
 @query(f"WITH {FEATURES}, {PRIORS}, {MI} SELECT feature, round(mi, 7) AS mi FROM mi")
 def mutual_information(spark, d):
-    mi = features.mutual_information(by_location_of(spark, d), features.priors(homes_of(posts_of(spark, d)), 0.5), LEAST)
+    mi = features.mutual_information(written(by_location_of(spark, d), "by_location"), features.priors(homes_of(posts_of(spark, d)), 0.5), LEAST)
     return mi.withColumn("mi", F.round("mi", 7))
 
 
@@ -297,7 +297,7 @@ def vocab_freq(spark, d):
 @query(f"""WITH {FEATURES}, {PRIORS}, {MI}, few AS (SELECT feature, round(mi, 9) AS v FROM mi WHERE feature LIKE 'h:%' OR feature LIKE 's:%')
 SELECT feature, row_number() OVER (ORDER BY source, v DESC, feature) AS rank FROM (SELECT feature, 0 AS source, v FROM few UNION ALL SELECT feature, 1, total::DOUBLE FROM totals WHERE feature NOT IN (SELECT feature FROM few)) ORDER BY rank LIMIT {VOCABULARY}""")
 def vocab_mi_backfill(spark, d):
-    by_location = by_location_of(spark, d)
+    by_location = written(by_location_of(spark, d), "by_location")
     mi = features.mutual_information(by_location, features.priors(homes_of(posts_of(spark, d)), 0.5), LEAST).where("feature LIKE 'h:%' OR feature LIKE 's:%'")
     return features.vocabulary(features.feature_totals(by_location), VOCABULARY, mi).withColumn("rank", F.col("rank").cast("long"))
 
@@ -305,7 +305,7 @@ def vocab_mi_backfill(spark, d):
 def model_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     own = written(features_of(spark, d), "features")
     homes = written(homes_of(posts_of(spark, d)), "homes")
-    by_location = features.location_features(own, homes)
+    by_location = written(features.location_features(own, homes), "by_location")
     vocab = written(features.vocabulary(features.feature_totals(by_location), VOCABULARY).select("feature"), "vocab")
     known = features.priors(homes, 0.5)
     params, overrides = location.location_params(by_location, vocab, known, SMOOTHING)
@@ -647,7 +647,7 @@ def emotion_columns(spark, d):
     return labels.emotions(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
 
 
-@query("SELECT doc_id, CASE WHEN l1 > l0 THEN 'Moralized' ELSE 'Non-Moralized' END AS moralization FROM (SELECT doc_id, ('0x' || substr(md5('moralization:0:' || t), 1, 6))::BIGINT AS l0, ('0x' || substr(md5('moralization:1:' || t), 1, 6))::BIGINT AS l1 FROM (SELECT doc_id, replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ') AS t FROM documents))")
+@query("SELECT doc_id, CASE WHEN l1 > l0 THEN 'Moralized' ELSE 'Non-Moralized' END AS moralization FROM (SELECT doc_id, ('0x' || substr(md5('moralization:0:' || md5(t)), 1, 6))::BIGINT AS l0, ('0x' || substr(md5('moralization:1:' || md5(t)), 1, 6))::BIGINT AS l1 FROM (SELECT doc_id, replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ') AS t FROM documents))")
 def moralization_labels(spark, d):
     return labels.moralized(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
 
