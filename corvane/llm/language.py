@@ -21,8 +21,9 @@ from corvane.llm.common import written
 DIMENSIONS, GRAM, SEED = 512, 3, 20260101
 #: The bound of the training sample, in documents of each language; rows of the table of n-gram vectors that are held at a time.
 TRAIN_ROWS, HELD_GRAMS = 1000, 60_000
-#: A text less like every language than this is not prose of a learned language.
-LEAST_SCORE = 0.02
+#: What rejects a text: this quantile of the strengths of its language's training texts, less so many standard deviations of the noise.
+#: A language with fewer training texts than LEAST_TEXTS takes the quantile of all languages' texts, if that is lower.
+LOW, NOISE, LEAST_TEXTS = 0.01, 2.0, 100
 
 
 @cache
@@ -85,19 +86,47 @@ class Grams:
 
 def text_vector(text: str | None, grams: Grams) -> np.ndarray | None:
     """The bundled vector scaled to length 1; None without letters, or if the sum is 0."""
+    return sized_vector(text, grams)[0]
+
+
+def sized_vector(text: str | None, grams: Grams) -> tuple[np.ndarray | None, float]:
+    """The text's vector, and its size: the number of equally frequent n-grams that would scatter as much; 0 without letters."""
     codes = gram_codes(text)
     if not len(codes):
-        return None
+        return None, 0.0
     found, counts = np.unique(codes, return_counts=True)
     v = np.zeros(grams.table.shape[1], np.float32)
     for i in range(0, len(found), 4096):
         v += counts[i : i + 4096].astype(np.float32) @ grams.vectors(found[i : i + 4096]).astype(np.float32)
-    size = np.linalg.norm(v)
-    return v / size if size else None
+    length = np.linalg.norm(v)
+    return (v / length if length else None), len(codes) ** 2 / float((counts.astype(np.float64) ** 2).sum())
+
+
+def strength(cosine: float, size: float) -> float:
+    """The part of a text's vector along the prototype over the part across it, for one n-gram: much the same for long and short texts of a language."""
+    c = min(max(cosine, 0.0), 0.9999)
+    return c / ((1 - c * c) * size) ** 0.5
+
+
+def least_cosine(low: float, size: float, dimensions: int) -> float:
+    """The cosine of a text of this size and the strength `low`, less NOISE standard deviations of the cosine of its part across the prototype."""
+    c2 = low * low * size / (1 + low * low * size)
+    return c2**0.5 - NOISE * ((1 - c2) / dimensions) ** 0.5
 
 
 def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """Languages, ascending, and their prototypes (a row each), of labelled texts (lang, text)."""
+    names, made = sums_of(labelled, dimensions)
+    return names, scaled(made)
+
+
+def scaled(made: np.ndarray) -> np.ndarray:
+    sizes = np.linalg.norm(made, axis=1, keepdims=True)
+    return (made / np.where(sizes > 0, sizes, 1)).astype(np.float32)
+
+
+def sums_of(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
+    """Languages, ascending, and the sums of their texts' vectors."""
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, sums = Grams(dimensions), {}
@@ -110,9 +139,28 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[
     parts = labelled.select("lang", "text").mapInArrow(bundle, "lang string, part array<double>")
     rows = parts.select("lang", F.posexplode("part").alias("k", "x")).groupBy("lang", "k").agg(F.sum(F.round("x", 6).cast("decimal(28,6)")).cast("double").alias("x"))
     rows = rows.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("v")).orderBy("lang").collect()  # one row for each language
-    made = np.array([[x["x"] for x in r["v"]] for r in rows], np.float64).reshape(len(rows), dimensions)
-    sizes = np.linalg.norm(made, axis=1, keepdims=True)
-    return [r["lang"] for r in rows], (made / np.where(sizes > 0, sizes, 1)).astype(np.float32)
+    return [r["lang"] for r in rows], np.array([[x["x"] for x in r["v"]] for r in rows], np.float64).reshape(len(rows), dimensions)
+
+
+def levels(labelled: DataFrame, names: list[str], sums: np.ndarray) -> dict[str, float]:
+    """For each language the low strength of its training texts, each measured against the other texts of its language."""
+    held = labelled.sparkSession.sparkContext.broadcast((names, sums))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, grams = dict(zip(*held.value, strict=True)), Grams(held.value[1].shape[1])
+        for batch in batches:
+            langs, found = [], []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                v, size = sized_vector(text, grams)
+                if v is not None and (length := np.linalg.norm(others := own[lang] - v)) > 1e-3:
+                    langs.append(lang)
+                    found.append(strength(float(others @ v) / length, size))
+            yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "strength": pa.array(found, pa.float64())})
+
+    each = labelled.select("lang", "text").mapInArrow(measure, "lang string, strength double")
+    rows = each.rollup("lang").agg(F.percentile("strength", LOW).alias("low"), F.count("*").alias("n")).collect()  # one row for each language, and one for all
+    low, n = {r["lang"]: r["low"] for r in rows}, {r["lang"]: r["n"] for r in rows}
+    return {x: low[x] if n.get(x, 0) >= LEAST_TEXTS else min(low.get(x) or 0.0, low.get(None) or 0.0) for x in names}
 
 
 def training_sample(docs: DataFrame, id_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -130,10 +178,11 @@ def training_sample(docs: DataFrame, id_col: str, rows: int = TRAIN_ROWS) -> Dat
     return docs.where("lang IS NOT NULL").join(chosen, F.col(id_col) == F.col("__chosen"), "left_semi").select("lang", "text")
 
 
-def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
+def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", low: dict[str, float] | None = None) -> DataFrame:
     """docs with lang_pred and score: the language of the highest cosine (ties: the first by name) and that cosine, 0 if negative.
 
-    A text that is null or has no letter is `und` with score 0; so is every text if no language was learned.
+    A text that is null or has no letter is `und` with score 0; so is every text if no language was learned. With the levels
+    `low` of the languages, a text that is less like its language than they and its length let expect is `und` with its score.
     """
     languages, rows = model
     held = docs.sparkSession.sparkContext.broadcast((languages, rows))
@@ -145,8 +194,8 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: st
         for batch in batches:
             langs, scores = [], []
             for text in batch:
-                v = text_vector(text.as_py(), grams) if names else None
-                if v is None and names and len(gram_codes(text.as_py())):
+                v, size = sized_vector(text.as_py(), grams) if names else (None, 0.0)
+                if v is None and size:
                     v = np.zeros(profile.shape[1], np.float32)
                 if v is None:
                     langs.append("und")
@@ -154,7 +203,8 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: st
                 else:
                     cosines = profile @ v
                     best = int(cosines.argmax())
-                    langs.append(names[best])
+                    like = low is None or float(cosines[best]) >= least_cosine(low[names[best]], size, profile.shape[1])
+                    langs.append(names[best] if like else "und")
                     scores.append(round(min(1.0, max(0.0, float(cosines[best]))), 6))
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
 
@@ -173,10 +223,19 @@ def report(docs: DataFrame) -> DataFrame:
     return predicted(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def in_a_language(docs: DataFrame, id_col: str = "doc_id", least: float = LEAST_SCORE) -> DataFrame:
-    """docs without those of no language: no letters, or a score under `least`."""
-    model = prototypes(training_sample(docs.where(F.crc32(F.col(id_col).cast("string")) % 3 != 1), id_col))
-    if not model[0]:
-        return docs
+def in_a_language(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs without those of no language: no letters, or less like every language than its own texts are. Without a learned language, those with letters stay."""
+    sample = written(training_sample(docs.where(F.crc32(F.col(id_col).cast("string")) % 3 != 1), id_col), "sample")
+    names, sums = sums_of(sample)
     named = docs.select(F.struct(*docs.columns).alias("__row"), "text")
-    return predicted(named, model).where(f"lang_pred <> 'und' AND score >= {least}").select("__row.*")
+    if not names:
+        return named.where(has_letters(F.col("text"))).select("__row.*")
+    return predicted(named, (names, scaled(sums)), low=levels(sample, names, sums)).where("lang_pred <> 'und'").select("__row.*")
+
+
+def has_letters(text):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([len(gram_codes(t.as_py())) > 0 for t in batch], pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(text)

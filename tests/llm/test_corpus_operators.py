@@ -1,5 +1,7 @@
 """Language ID, near-dedup, URL filter, mixing and the pipeline against brute force."""
 
+import base64
+import inspect
 import random
 from collections import Counter
 
@@ -43,6 +45,30 @@ def test_language_edges(spark, data):
     assert kept.columns == docs.columns and kept.where("doc_id < 900000").count() == docs.count() and kept.where("doc_id in (900001, 900002, 900003)").count() == 0
 
 
+def test_junk_and_unlearned_languages_are_rejected(spark, data):
+    docs = spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rng = random.Random(11)
+    letters = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))
+    code = inspect.getsource(near_dup).split()
+    junk = [letters(n) for n in [20] * 60 + [100] * 60 + [400] * 10] + [" ".join(code[k : k + 150]) for k in range(0, 900, 100)]
+    junk += [base64.b64encode(rng.randbytes(900)).decode() for _ in range(20)]
+    unlearned = [r.text for r in docs.where("lang = 'fr' AND n_chars > 600").limit(60).collect()]
+    short = [" ".join(r.text.split()[:12]) for r in docs.where("lang <> 'fr' AND n_chars > 600").limit(60).collect()]
+    learned = docs.withColumn("lang", F.when(F.col("lang") != "fr", F.col("lang")))
+    rows = [(10**6 + k, t, None, "s", len(t)) for k, t in enumerate(junk)] + [(2 * 10**6 + k, t, None, "s", len(t)) for k, t in enumerate(unlearned)]
+    rows += [(3 * 10**6 + k, t, None, "s", len(t)) for k, t in enumerate(short)]
+    kept = [r.doc_id for r in language.in_a_language(learned.union(table_of(spark, rows))).select("doc_id").collect()]
+    n = Counter(i // 10**6 for i in kept)
+    own = docs.where("lang <> 'fr'").count()
+    assert n[1] <= 0.05 * len(junk) and n[2] <= 0.1 * len(unlearned) and n[3] >= 0.95 * len(short)
+    assert len({i for i in kept if i < 10**6} & {r.doc_id for r in docs.where("lang <> 'fr'").collect()}) >= 0.99 * own
+
+
+def test_letterless_texts_go_when_nothing_was_learned(spark):
+    docs = table_of(spark, [(1, "some words", None, "s", 10), (2, "12 34", None, "s", 5), (3, None, None, "s", 0)])
+    assert [r.doc_id for r in language.in_a_language(docs).collect()] == [1]
+
+
 def test_vectors_are_bound_and_bundled():
     grams = language.Grams(64)
     v = language.text_vector("ab", grams)
