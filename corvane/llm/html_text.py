@@ -1,8 +1,8 @@
 """Main text of web pages: structure first, then site template removal.
 
 A page is parsed into a tree. Elements that never hold an article's text (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments) are dropped by tag, role, class and id, and the article is looked for: <article> elements,
-else <main>, else an element named content, else the body. Then the site's template goes: each element's subtree is hashed
+scripts, styles, reader comments) are dropped by tag, role, class and id, and the article is looked for: every <main>, else the
+<article> elements, else those named content, else the body; what holds little of the page's text is passed over. Then the site's template goes: each element's subtree is hashed
 (tag, class, id, text), Spark counts on how many pages of a host, and in how many different articles, a hash occurs, and
 subtrees that recur across many of the host's pages are deleted. Because documents are copied and quote each other, a
 subtree only counts as template if it recurs across different articles, and inside an <article> or <main> across most of them.
@@ -35,6 +35,11 @@ ENDS_P = BLOCK - {"html", "body", "caption", "td", "th", "tr", "tbody", "thead",
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot banner billboard breadcrumb breadcrumbs byline-tools comment comments commentlist commenting comment-list consent cookie cookies cookiebar copyright discussion disqus footer footnav form gdpr header hero-ad login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended related reply replies respond responses search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription tagcloud tags toc toolbar topbar tracking widget widgets complementary contentinfo alert alertdialog".split())
 CONTENT = frozenset("content main article post entry story body-text article-body articlebody post-content entry-content main-content maincontent story-body".split())
 
+#: Words of names of what only goes with a content element.
+META = frozenset("title heading headline header meta info date time author byline category categories tags thumbnail image caption footer links nav".split())
+#: Elements with less than this part of the page's text are not its main text.
+LEAST_PART = 0.25
+
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|/[^>]*(?:>|\Z))", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/>\"']+)")
 _NAMED = ("class", "id", "role", "hidden", "aria-hidden", "style")
@@ -140,31 +145,51 @@ def dropped(element: Element, in_article: bool) -> bool:
 
 
 def content(root: Element) -> tuple[list[Element], bool]:
-    """The elements that hold the main text, and whether they are marked up as such."""
-    articles, mains, named, bodies = [], [], [], []
+    """The elements that hold the main text, in page order, and whether they are marked up as such.
 
-    def walk(e: Element) -> None:
-        if dropped(e, False):
-            return
-        if e.tag == "article":
-            articles.append(e)
-            return  # articles inside an article are its own, or its comments
-        if e.tag == "main" or e.named.get("role", "").lower() == "main":
-            mains.append(e)
-        if e.named and e.marks() & CONTENT:
-            named.append(e)
-        if e.tag == "body":
-            bodies.append(e)
-        for c in e.children:
-            if not isinstance(c, str):
-                walk(c)
-
-    _deep(walk, root)
-    if articles:
-        return articles, True
-    if mains:
-        return mains[:1], True
-    return ([named[0]], False) if named else ([root], False)
+    Every <main> with all that stands in it, and every article outside if those hold more text; without <main> the articles, or
+    the elements named content if these hold more text outside the articles. The whole page, if that is under LEAST_PART of its text.
+    """
+    found: dict[str, list[Element]] = {"marked": [], "named": []}
+    sizes = {"main": 0, "article": 0, "named": 0, "both": 0}
+
+    def walk(e: Element, inside: str, named: bool) -> int:
+        if dropped(e, bool(inside)):
+            return 0
+        kind = "main" if e.tag == "main" or e.named.get("role", "").lower() == "main" else "article" if e.tag == "article" else ""
+        first, called = kind if not inside else "", not inside and not kind and not named and is_named_content(e)
+        if first:
+            found["marked"].append(e)
+        if called:
+            found["named"].append(e)
+        n = sum(len("".join(c.split())) if isinstance(c, str) else walk(c, inside or kind, named or called) for c in e.children)
+        if first:
+            sizes[first] += n
+            sizes["both"] += n if named else 0
+        if called:
+            sizes["named"] += n
+        return n
+
+    total = _deep(walk, root, "", False)
+    mains = [e for e in found["marked"] if e.tag != "article"]
+    if mains and sizes["main"] >= sizes["article"]:
+        roots, held, marked = mains, sizes["main"], True
+    elif found["marked"] and sizes["article"] + sizes["main"] >= sizes["named"] - sizes["both"]:
+        roots, held, marked = found["marked"], sizes["article"] + sizes["main"], True
+    else:
+        roots, held, marked = found["named"], sizes["named"], False
+    return (roots, marked) if roots and held >= LEAST_PART * total else ([root], False)
+
+
+def is_named_content(e: Element) -> bool:
+    """Whether a block that is no heading is named content; the title or meta line of an entry is not."""
+    if not e.named or e.tag not in BLOCK or e.tag in HEADING or e.tag in ("html", "body", "p"):
+        return False
+    for name in " ".join(e.named.get(k, "") for k in ("class", "id", "role")).lower().split():
+        parts = re.split(r"[_-]+", name)
+        if name in CONTENT or not META.intersection(parts) and (parts[0] in CONTENT or parts[-1] in CONTENT):
+            return True
+    return False
 
 
 def _deep(f, *args):

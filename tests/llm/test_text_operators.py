@@ -128,6 +128,24 @@ def test_main_text(inside, text):
     assert "\n".join(html_text.blocks_of(roots)) == text
 
 
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("<h1 class='entry-title'>Title</h1><div class='entry-content'><p>The whole body</p></div>", "The whole body"),
+        ("<div class='post-meta'>Monday</div><div class='entry-content'><p>The whole body</p></div>", "The whole body"),
+        ("<div class='post'>First one</div><div class='post'>Second one</div><div class='entry'>Third one</div>", "First one\nSecond one\nThird one"),
+        ("<main><p>Part one</p></main><div role='main'><p>Part two</p></div>", "Part one\nPart two"),
+        ("<main><h1>Head</h1><p>The body of the page</p><section><article class='card'>Teaser</article></section></main>", "Head\nThe body of the page\nTeaser"),
+        ("<div class='entry-content'><p>The body of the page</p></div><section><article class='card'>Teaser</article></section>", "The body of the page"),
+        ("<h1>Head</h1><p>The body of the page without any name</p><section><article class='card'>Teaser</article></section>", "Head\nThe body of the page without any name\nTeaser"),
+        ("<main></main><article><p>Outside</p></article>", "Outside"),
+    ],
+)
+def test_no_part_of_the_main_text_is_lost(inside, text):
+    roots, _ = html_text.content(html_text.parse(PAGE.replace("{}", inside)))
+    assert "\n".join(html_text.blocks_of(roots)) == text
+
+
 def test_unclosed_and_odd_pages():
     for page in ("<", "<a", "<article><p>x", "</p></div>", "<!-- x", "<script>", "a<b>c</i>d", "&am", "<" * 50, "<div>" * 3000 + "deep"):
         html_text.blocks_of(html_text.content(html_text.parse(page))[0])
