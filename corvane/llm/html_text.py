@@ -35,6 +35,9 @@ ENDS_P = BLOCK - {"html", "body", "caption", "td", "th", "tr", "tbody", "thead",
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot banner billboard breadcrumb breadcrumbs byline-tools comment comments commentlist commenting comment-list consent cookie cookies cookiebar copyright discussion disqus footer footnav form gdpr header hero-ad login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended related reply replies respond responses search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription tagcloud tags toc toolbar topbar tracking widget widgets complementary contentinfo alert alertdialog".split())
 CONTENT = frozenset("content main article post entry story body-text article-body articlebody post-content entry-content main-content maincontent story-body".split())
 
+#: Names that begin or end so tell the page's layout or topic, or that something is not there.
+LAYOUT = frozenset("has no with without is not category cat tag topic term format".split())
+DENIED = frozenset("free less off none disabled closed".split())
 #: Words of names of what only goes with a content element.
 META = frozenset("title heading headline header meta info date time author byline category categories tags thumbnail image caption footer links nav".split())
 #: Elements with less than this part of the page's text are not its main text.
@@ -51,10 +54,10 @@ MOST_BROADCAST = 2_000_000
 
 
 class Element:
-    __slots__ = ("children", "named", "tag")
+    __slots__ = ("children", "named", "spared", "tag")
 
     def __init__(self, tag: str, named: dict[str, str]) -> None:
-        self.tag, self.named, self.children = tag, named, []
+        self.tag, self.named, self.children, self.spared = tag, named, [], ""
 
     def marks(self) -> set[str]:
         names = " ".join(self.named.get(k, "") for k in ("class", "id", "role")).lower()
@@ -137,11 +140,62 @@ def _attributes(text: str) -> dict[str, str]:
 def dropped(element: Element, in_article: bool) -> bool:
     """Whether an element is no part of the article by its own tag and names."""
     tag, named = element.tag, element.named
-    if tag in NEVER or tag == "header" and not in_article:
+    if tag in NEVER or tag == "header" and not in_article or hidden(element):
         return True
-    if named and (("hidden" in named) or named.get("aria-hidden", "").lower() == "true" or "display:none" in named.get("style", "").replace(" ", "").lower()):
+    if not named or tag in ("html", "body", "main") or element.spared == "all":
+        return False
+    marks = MARKS - {"header"} if in_article else MARKS
+    whole = {x for k in ("class", "id", "role") for x in named.get(k, "").lower().split()}
+    if whole & marks:
         return True
-    return bool(named) and tag not in ("html", "body", "main") and bool(element.marks() & (MARKS - {"header"} if in_article else MARKS))
+    return element.spared != "parts" and any(marked_part(x, marks, tag == "article") for x in whole)
+
+
+def marked_part(name: str, marks: frozenset[str], first_only: bool) -> bool:
+    """Whether a part of a name is a mark. Names that deny something, tell the layout or the topic (has-sidebar, ad-free, tag-social) have none."""
+    parts = [x for x in re.split(r"[_-]+", name) if x]
+    if len(parts) < 2 or parts[0] in LAYOUT or parts[-1] in DENIED:
+        return False
+    return not marks.isdisjoint(parts[:1] if first_only else parts)
+
+
+def spare(root: Element) -> None:
+    """Marks the elements that names must not drop: by no name ("all") what is or holds a <main> or the page's largest article,
+    or most of the text of a page without either; by no part of a name ("parts") what holds most of the page's text beside them."""
+    sizes: dict[int, int] = {}
+    kept: list[tuple[Element, list[Element]]] = []
+    path: list[Element] = []
+
+    def walk(e: Element) -> int:
+        if e.tag in NEVER or hidden(e):
+            return 0
+        path.append(e)
+        if e.tag in ("article", "main") or e.named.get("role", "").lower() == "main":
+            names = {x for k in ("class", "id", "role") for x in e.named.get(k, "").lower().split()}
+            if e.tag != "article" or not names & MARKS:
+                kept.append((e, path[:]))
+        sizes[id(e)] = n = sum(len("".join(c.split())) if isinstance(c, str) else walk(c) for c in e.children)
+        path.pop()
+        return n
+
+    total = _deep(walk, root)
+    articles = [x for x in kept if x[0].tag == "article"]
+    most = max(articles, key=lambda x: sizes[id(x[0])], default=None)
+    for e, above in kept:
+        if e.tag != "article" or most and e is most[0]:
+            for x in above:
+                x.spared = "all"
+    level = [root]
+    while level:
+        e = level.pop()
+        if 2 * sizes.get(id(e), 0) > total:
+            e.spared = e.spared or ("parts" if kept else "all")
+            level += [c for c in e.children if not isinstance(c, str)]
+
+
+def hidden(element: Element) -> bool:
+    named = element.named
+    return bool(named) and ("hidden" in named or named.get("aria-hidden", "").lower() == "true" or "display:none" in named.get("style", "").replace(" ", "").lower())
 
 
 def content(root: Element) -> tuple[list[Element], bool]:
@@ -170,6 +224,7 @@ def content(root: Element) -> tuple[list[Element], bool]:
             sizes["named"] += n
         return n
 
+    _deep(spare, root)
     total = _deep(walk, root, "", False)
     mains = [e for e in found["marked"] if e.tag != "article"]
     if mains and sizes["main"] >= sizes["article"]:
@@ -227,7 +282,7 @@ def blocks_of(roots: list[Element], template: frozenset[int] | set[int] = frozen
                     held.append(c)
             elif c.tag in HEADING and in_header:
                 walk(c, False)
-            elif not dropped(c, True) and not (c.tag == "article" and c.named and c.marks() & MARKS):
+            elif not dropped(c, True):
                 walk(c, in_header or c.tag == "header" or bool(c.named) and "header" in c.marks())
         if block:
             flush()

@@ -146,6 +146,19 @@ def test_no_part_of_the_main_text_is_lost(inside, text):
     assert "\n".join(html_text.blocks_of(roots)) == text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-comments", "paywall-free", "no-sidebar", "widget", "post category-search tag-social", "search-results-page"])
+def test_names_of_layout_and_topic_drop_no_text(name):
+    for inside in (f"<div class='{name}'><article><p>The body, most of the text of the page</p></article></div>", f"<article class='{name}'><p>The body, most of the text of the page</p></article>", f"<div id=page class='{name}'><p>The body, most of the text of the page</p></div>", f"<article><div class='{name}'><p>The body, most of the text of the page</p></div></article>"):
+        if inside.startswith("<article><div") and name == "widget":
+            continue  # a widget in an article is none of its text
+        page = PAGE.replace("{}", inside + "<div class='related-posts'>Others</div><div class='ad-slot'>Buy</div>")
+        roots, _ = html_text.content(html_text.parse(page))
+        assert "\n".join(html_text.blocks_of(roots)) == "The body, most of the text of the page", inside
+    many = "".join(f"<article class='post category-{c}'><p>About {c}</p></article>" for c in ("search", "social", "comments"))
+    roots, _ = html_text.content(html_text.parse(PAGE.replace("{}", many)))
+    assert "\n".join(html_text.blocks_of(roots)) == "About search\nAbout social\nAbout comments"
+
+
 def test_unclosed_and_odd_pages():
     for page in ("<", "<a", "<article><p>x", "</p></div>", "<!-- x", "<script>", "a<b>c</i>d", "&am", "<" * 50, "<div>" * 3000 + "deep"):
         html_text.blocks_of(html_text.content(html_text.parse(page))[0])
