@@ -1,7 +1,7 @@
 """Near-duplicate classes of documents: ProbMinHash signatures, banding, exact verification, connected components.
 
 Documents are sets of shingles of five words (runs of 0-9, a-z and non-ASCII, A-Z lower-cased). Candidates come from ProbMinHash
-signatures, where a shingle weighs 1 + ln(its count); two documents are linked if the exact Jaccard similarity of their shingle
+signatures, where every shingle of a document weighs the same, however often it recurs; two documents are linked if the exact Jaccard similarity of their shingle
 sets is 0.8 or more, and a class is a connected component of the links. No step holds more than a bounded group in one task:
 
 1. One pass of Python over the texts gives each document a key of its words and its band hashes.

@@ -29,9 +29,9 @@ def shingle_hashes(words: list[bytes], width: int = WIDTH) -> np.ndarray:
 
 
 def weighted(text: str | None, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles, ascending, and their weights 1 + ln(count)."""
-    found, counts = np.unique(shingle_hashes(words_of(text), width), return_counts=True)
-    return found, 1.0 + np.log(counts)
+    """The distinct shingles, ascending, each of weight 1: registers then agree with the probability of the plain Jaccard similarity that links are defined by."""
+    found = np.unique(shingle_hashes(words_of(text), width))
+    return found, np.ones(len(found))
 
 
 def prob_min_hash(element: np.ndarray, weight: np.ndarray, owner: np.ndarray, owners: int, m: int) -> np.ndarray:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvane.llm import language, mixing, near_dup, url_filter
-from corvane.llm.shingles import band_hashes, prob_min_hash, shingle_hashes
+from corvane.llm.shingles import band_hashes, prob_min_hash, shingle_hashes, weighted
 from corvane.llm.common import words_of
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -126,6 +126,22 @@ def test_classes_are_brute_force(spark, monkeypatch):
     assert got == brute_classes(rows)
 
 
+def test_repeated_passages_hide_no_candidate():
+    # Sets of 200 and 180 shingles, plain Jaccard 0.9; the passage that only one repeats a thousand times must not weigh.
+    rng, lost = random.Random(5), 0
+    for _ in range(120):
+        words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(204)]
+        passage = words[:100]
+        a, b = " ".join(passage * 1000 + words[100:]), " ".join(words[:184])
+        sets = [weighted(t) for t in (a, b)]
+        x, y = (set(s[0].tolist()) for s in sets)
+        assert len(x & y) >= 0.8 * len(x | y)
+        owner = np.repeat([0, 1], [len(s[0]) for s in sets])
+        bands = band_hashes(prob_min_hash(np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]), owner, 2, near_dup.BANDS * near_dup.ROWS), near_dup.BANDS, near_dup.ROWS)
+        lost += not (bands[0] == bands[1]).any()
+    assert lost == 0
+
+
 def test_near_dup_edges(spark):
     docs = table_of(spark, [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "en", "s", 1), (2, "a b c d e f", "en", "s", 2), (3, None, None, None, None), (None, "a b c d e f", None, None, None), (4, "", "en", "s", 0)])
     rows = near_dup.near_duplicates(docs).collect()
