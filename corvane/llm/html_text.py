@@ -351,11 +351,14 @@ def subtrees(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 
 def templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, subtree, marked): the subtrees that are template on their host. A host has at most its pages' mean number of subtrees over OUTSIDE."""
+    """(host, subtree, marked): the subtrees that are template on their host, of its pages with <article> or <main> (marked) and of its others by themselves.
+
+    A host has at most its pages' mean number of subtrees over OUTSIDE.
+    """
     each = subtrees(pages, url_col, html_col).groupBy("host", "subtree", "marked").agg(F.count("*").alias("pages"), F.approx_count_distinct("article", 0.1).alias("articles"))
     each = written(each, "subtrees")
-    of_host = each.where("subtree = -1").groupBy("host").agg(F.sum("pages").alias("host_pages"), F.sum("articles").alias("host_articles"))
-    often = each.where(f"subtree >= 0 AND pages >= {LEAST_PAGES}").join(of_host, "host")
+    of_host = each.where("subtree = -1").select("host", "marked", F.col("pages").alias("host_pages"), F.col("articles").alias("host_articles"))
+    often = each.where(f"subtree >= 0 AND pages >= {LEAST_PAGES}").join(of_host, ["host", "marked"])
     part = F.when(F.col("marked"), INSIDE).otherwise(OUTSIDE)
     return often.where((F.col("articles") >= F.greatest(F.lit(LEAST_PAGES), part * F.col("host_articles"))) & (F.col("pages") >= part * F.col("host_pages"))).select("host", "subtree", "marked")
 

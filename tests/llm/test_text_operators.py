@@ -183,6 +183,14 @@ def test_site_template_is_removed(spark):
     assert html_text.report(pages.where("page_id < 0")).count() == 0
 
 
+def test_template_is_counted_within_its_layout(spark):
+    plain = "<body><div><p>Written by the staff of this site</p></div><p>Story number {0} of the site</p></body>"
+    rows = [(k, f"https://a.example/{k}", plain.format(k)) for k in range(10)]
+    rows += [(100 + k, f"https://a.example/x{k}", f"<article><p>Article number {k}</p></article>") for k in range(60)]
+    got = {r.page_id: r.text for r in html_text.report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story number 3 of the site" and got[103] == "Article number 3"
+
+
 # Fingerprints
 
 
