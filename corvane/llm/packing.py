@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,32 @@ def encoding(vocabulary: str = VOCABULARY):
     return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: Longer runs of white space are cut out before the tokenizer's pattern engine, whose stack they would overflow, sees the text.
+LONG_SPACE = regex.compile(r"\s{10000,}")
+
+
+def encode(text: str, vocabulary: str = VOCABULARY) -> list[int]:
+    """The token ids of any text. A long run of white space is one pre-token but for its last character, if text follows, which
+    begins the next one; so the text before it, the run, and the rest from that character on are encoded by themselves.
+    """
+    coder = encoding(vocabulary)
+    if len(text) < 10_000 or not (found := LONG_SPACE.search(text)):
+        return coder.encode_ordinary(text)
+    out, at = [], 0
+    while found:
+        start, stop = found.span()
+        stop -= stop < len(text)
+        out += coder.encode_ordinary(text[at:start])
+        out += encode_piece(text[start:stop], vocabulary)
+        at, found = stop, LONG_SPACE.search(text, found.end())
+    return out + coder.encode_ordinary(text[at:])
+
+
+def encode_piece(piece: str, vocabulary: str = VOCABULARY) -> list[int]:
+    """The token ids of one pre-token, by byte-pair merges alone."""
+    return encoding(vocabulary)._core_bpe.encode_single_piece(piece.encode("utf-8", "replace"))
+
+
 class Rooms:
     """Open rows by free places, 0 to `most`; a segment tree counts those of each range."""
 
@@ -99,7 +126,6 @@ def _packer(vocabulary: str, separator: int, capacity: int, buffer_tokens: int):
         from pyspark import TaskContext
 
         partition, buffer, held, docs = TaskContext.get().partitionId(), 0, 0, []
-        encode = encoding(vocabulary).encode_ordinary
 
         def flush() -> pa.RecordBatch:
             out = []
@@ -113,7 +139,7 @@ def _packer(vocabulary: str, separator: int, capacity: int, buffer_tokens: int):
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, stop in blocks([len(t or "") for t in texts], CHARS):
                 for name, text in zip(names[start:stop], texts[start:stop], strict=True):
-                    ids = np.array([*encode(text or ""), separator], np.int32)
+                    ids = np.array([*encode(text or "", vocabulary), separator], np.int32)
                     docs.append((name, ids))
                     held += len(ids)
                 if held >= buffer_tokens:
@@ -134,16 +160,11 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     0), doc_ids and parts (which document a segment is of, and which part of it).
 
     `vocabulary` is a file each executor has at that path. A null or empty text is its separator alone. Null and repeated ids
-    are kept as they are. An empty table gives no rows.
+    are kept as they are. An empty table gives no rows. A text of any length and any runs of white space, letters or marks is encoded whole.
     """
     return docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).cast("string").alias("t")).mapInArrow(_packer(vocabulary, separator, row_tokens, buffer_tokens), PACKED)
 
 
-def write_packed(rows: DataFrame, path: str) -> None:
-    """Writes packed rows as Parquet, a fixed-width binary column beside the index columns, to any store that Spark can write."""
-    rows.write.mode("overwrite").parquet(path)
-
-
 def matrices(rows: list, row_tokens: int = ROW_TOKENS) -> dict[tuple[int, int], np.ndarray]:
     """Of collected rows of a few buffers: each buffer's id matrix."""
     by: dict[tuple[int, int], list] = {}

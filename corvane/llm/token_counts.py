@@ -3,7 +3,8 @@
 Byte-pair encoding works within pre-tokens, the matches of a pattern from left to right, so a text's count is the sum over its
 pre-tokens. A document keeps a segment tree over runs of pre-tokens: each node has the characters and the tokens below it. An edit
 finds its first and last run by characters, reads pre-tokens again from a little before the edit until they fall in step with
-the old ones, counts only those, and updates the sums on the paths from the touched runs to the root.
+the old ones, counts only those, and updates the sums on the paths from the touched runs to the root. Runs that grow over twice
+`RUN` pre-tokens are split.
 
 Why that is exact: a match depends on the text from its start to at most `LOOK` characters after its end, and not on what is before
 its start. So old pre-tokens that end LOOK or more before the edit stand; and as soon as a new pre-token ends after the edit
@@ -19,12 +20,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.packing import PATTERN, VOCABULARY, encoding
+from corvane.llm.packing import PATTERN, VOCABULARY, encode_piece, encoding
 
 LOOK, RUN = 4, 32
 PRETOKEN = regex.compile(PATTERN)
 #: Distinct pre-tokens whose counts a worker holds; beyond that it starts anew.
 HELD = 400_000
+#: Characters of the longest pre-token whose count is held.
+MOST_HELD = 200
 
 
 class Counts(dict):
@@ -32,9 +35,11 @@ class Counts(dict):
 
     def __init__(self, vocabulary: str) -> None:
         super().__init__()
-        self.encode = encoding(vocabulary).encode_ordinary
+        self.vocabulary, self.encode = vocabulary, encoding(vocabulary).encode_ordinary
 
     def __missing__(self, piece: str) -> int:
+        if len(piece) > MOST_HELD:  # rare and large: not held; a long run of white space mustn't meet the tokenizer's pattern engine
+            return len(encode_piece(piece, self.vocabulary))
         if len(self) >= HELD:
             self.clear()
         n = self[piece] = len(self.encode(piece))
@@ -49,16 +54,23 @@ class CountedText:
         pieces = PRETOKEN.findall(text)
         self.encoded = len(pieces)
         tokens, chars = list(map(counts.__getitem__, pieces)), list(map(len, pieces))
-        # Runs keep the lengths of their pre-tokens; where they start follows from the tree.
-        self.runs = [chars[i : i + RUN] for i in range(0, len(pieces), RUN)] or [[]]
+        # Runs keep the characters and tokens of their pre-tokens; where they start follows from the tree.
+        each = list(zip(chars, tokens, strict=True))
+        self.runs = [each[i : i + RUN] for i in range(0, len(each), RUN)] or [[]]
+        self._build()
+
+    def _build(self) -> None:
         self.leaves = 1 << (len(self.runs) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.leaves), [0] * (2 * self.leaves)
-        for k, run in enumerate(self.runs):
-            self.chars[self.leaves + k] = sum(run)
-            self.tokens[self.leaves + k] = sum(tokens[k * RUN : (k + 1) * RUN])
+        for k in range(len(self.runs)):
+            self._fill(k)
         for k in range(self.leaves - 1, 0, -1):
             self._sum(k)
 
+    def _fill(self, run: int) -> None:
+        self.chars[self.leaves + run] = sum(c for c, _ in self.runs[run])
+        self.tokens[self.leaves + run] = sum(n for _, n in self.runs[run])
+
     def _sum(self, k: int) -> None:
         self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
         self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
@@ -83,11 +95,11 @@ class CountedText:
         first, at = self._find(max(0, start - LOOK))
         # The pre-tokens of the first run that end LOOK or more before the edit stand.
         head = []
-        for n in self.runs[first]:
-            if at + n + LOOK > start:
+        for piece in self.runs[first]:
+            if at + piece[0] + LOOK > start:
                 break
-            head.append(n)
-            at += n
+            head.append(piece)
+            at += piece[0]
         shift, edited = len(text) - old, start + len(new)
         # Ends of old pre-tokens, in new positions, from the edit's end on; runs are taken in as they are reached.
         last, behind = first, self._start(first)
@@ -110,23 +122,20 @@ class CountedText:
             last = len(self.runs) - 1
         else:
             tail = self.runs[last][step + 1 :]
-        count = self.counts.__getitem__
         self.text = text
-        pieces, at2 = [], at
+        self.encoded += len(made)
+        new_pieces, at2 = [], at
         for n in made:
-            pieces.append(text[at2 : at2 + n])
+            new_pieces.append((n, self.counts[text[at2 : at2 + n]]))
             at2 += n
-        self.encoded += len(pieces)
-        # Tokens of what stands in the touched runs are looked up, not encoded again.
-        begin = at - sum(head)
-        stands = self._pieces(begin, head) + self._pieces(at2, tail)
-        total = sum(map(count, pieces)) + sum(map(count, stands))
-        self.runs[first] = head + made + tail
-        for k in range(first + 1, last + 1):
-            self.runs[k] = []
+        held = head + new_pieces + tail  # what stands keeps its counts
+        if len(held) > 2 * RUN:  # too much for a leaf: the touched runs are dealt out anew and the sums taken again, without encoding
+            self.runs[first : last + 1] = [held[i : i + RUN] for i in range(0, len(held), RUN)]
+            self._build()
+            return
+        self.runs[first : last + 1] = [held, *([] for _ in range(last - first))]
         for k in range(first, last + 1):
-            self.chars[self.leaves + k] = sum(self.runs[k]) if k == first else 0
-            self.tokens[self.leaves + k] = total if k == first else 0
+            self._fill(k)
         for k in sorted({(self.leaves + k) >> up for k in range(first, last + 1) for up in range(1, self.leaves.bit_length())} - {0}, reverse=True):
             self._sum(k)
 
@@ -140,18 +149,11 @@ class CountedText:
 
     def _ends(self, run: int, start: int) -> dict[int, int]:
         ends = {}
-        for i, n in enumerate(self.runs[run]):
+        for i, (n, _) in enumerate(self.runs[run]):
             start += n
             ends[start] = i
         return ends
 
-    def _pieces(self, start: int, lengths: list[int]) -> list[str]:
-        out = []
-        for n in lengths:
-            out.append(self.text[start : start + n])
-            start += n
-        return out
-
 
 def standard_edits(text: str) -> list[tuple[int, int, str]]:
     """The edits of the query, each given for the text as the ones before left it: a year set in at a quarter, 40 characters taken out at
@@ -167,7 +169,9 @@ def standard_edits(text: str) -> list[tuple[int, int, str]]:
 def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, edits=standard_edits) -> DataFrame:
     """docs with n_tokens, n_tokens_edited (after `edits`, a function of the text), n_pretokens and n_reread (pre-tokens read again for the edits).
 
-    Whole texts are counted; a null or empty one has no tokens, though its edits may give it some.
+    Whole texts of any length are counted; a null or empty one has no tokens, though its edits may give it some. Rows are counted
+    each by itself, so repeated rows get equal counts; an empty table gives no rows. Columns of docs are kept, but for those named
+    like the counts, which are replaced.
     """
 
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from corvane.llm import decontaminate, html_text, lz_fingerprint, packing, secrets, token_counts
+from corvane.llm import decontaminate, html_text, language, lz_fingerprint, mixing, near_dup, packing, secrets, token_counts, url_filter
 from corvane.llm.common import words_of
 
 TEXTS = [(1, "Hello world, it's 12  o'clock!\n\nAgain. " * 30), (2, None), (3, ""), (4, "é" * 500), (5, "x"), (5, "x"), (None, "no id"), (7, " \n\t "), (8, "long word " * 5000)]
@@ -45,6 +45,63 @@ def test_edits_reread_only_their_surroundings():
     assert tree.encoded - before < 20
 
 
+def test_leaves_are_split_after_a_large_insert():
+    tree = token_counts.CountedText("some words in a row. " * 100, token_counts.Counts(packing.VOCABULARY))
+    tree.edit(50, 50, "more words than a leaf holds " * 20_000)
+    assert max(map(len, tree.runs)) <= 2 * token_counts.RUN
+    before = tree.encoded
+    tree.edit(300_000, 300_001, "z")
+    assert tree.encoded - before < 20 and tree.n_tokens == len(packing.encoding().encode_ordinary(tree.text))
+
+
+def test_what_stands_is_not_encoded_again(monkeypatch):
+    counts = token_counts.Counts(packing.VOCABULARY)
+    tree = token_counts.CountedText("some words in a row. " * 300, counts)
+    monkeypatch.setattr(token_counts, "HELD", 1)  # every count is forgotten at once
+    asked = []
+    monkeypatch.setattr(counts, "encode", lambda piece: asked.append(piece) or packing.encoding().encode_ordinary(piece))
+    before = tree.encoded
+    tree.edit(3000, 3004, "another")
+    assert len(asked) <= tree.encoded - before < 20 and tree.n_tokens == len(packing.encoding().encode_ordinary(tree.text))
+
+
+LONG = {"spaces": " " * 1_000_000 + "x", "lines": "a" + "\n" * 1_000_000, "mixed": "b" + " \n" * 500_000 + " c", "tabs": "\t" * 1_000_000, "letters": "a" * 1_000_000, "marks": "!" * 1_000_000, "base64": "QUJD" * 250_000 + "+/=", "words": "some words " * 100_000}
+
+
+def test_long_white_space_is_cut_exactly(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(packing, "LONG_SPACE", packing.regex.compile(r"\s{5,}"))
+    for _ in range(300):
+        text = "".join(rng.choice(["a", " b", "1", "!", "é", " " * rng.randint(0, 9), "\n" * rng.randint(0, 7), "\u2003" * 6, "\x1c" * 6, "'s"]) for _ in range(40)) * 120
+        assert packing.encode(text) == packing.encoding().encode_ordinary(text)
+
+
+def test_very_long_texts(spark, data):
+    """Texts of a million characters of one kind go through every operator on documents."""
+    names = list(LONG)
+    docs = spark.createDataFrame([(k, LONG[n], "en", "s", len(LONG[n])) for k, n in enumerate(names)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4).cache()
+    counts = {r.doc_id: r for r in token_counts.report(docs).collect()}
+    pieces = {}
+    for r in packing.packed(docs, row_tokens=1 << 16).collect():
+        for d, part, a, b in zip(r.doc_ids, r.parts, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
+            pieces.setdefault(d, {})[part] = np.frombuffer(r.ids, "<i4")[a:b]
+    for k, n in enumerate(names):
+        ids = np.concatenate([pieces[k][i] for i in sorted(pieces[k])])[:-1]
+        assert packing.encoding().decode(ids.tolist()) == LONG[n] and counts[k].n_tokens == len(ids), n
+    bench = spark.createDataFrame([(1, "some words some words some words")], "item_id long, text string")
+    hit = {names[r.doc_id]: r.n_hit for r in decontaminate.report(docs, bench).collect()}
+    assert hit["words"] == 200_000 and sum(hit.values()) == 200_000
+    assert {r.doc_id: r.n_chars for r in lz_fingerprint.report(docs).collect()} == {k: len(LONG[n]) for k, n in enumerate(names)}
+    assert secrets.scanned(docs, secrets.trained([])).count() == len(names)
+    assert language.report(docs).count() == len(names) and near_dup.near_duplicates(docs).count() == len(names)
+    assert {r.doc_id: r["size"] for r in mixing.report(docs).collect()}[names.index("words")] == 200_000
+    pages = docs.selectExpr("doc_id AS page_id", "concat('http://', text) AS url", "concat('<article>', text) AS html")
+    texts = {names[r.page_id]: r.text for r in html_text.report(pages).collect()}
+    assert texts["spaces"] == "x" and texts["letters"] == LONG["letters"] and texts["words"] == LONG["words"].strip()
+    assert url_filter.report(pages).count() == len(names)
+    docs.unpersist()
+
+
 def test_token_counts_query(spark, docs, empty):
     rows = token_counts.report(docs).collect()
     assert len(rows) == len(TEXTS)
