@@ -181,8 +181,7 @@ PAGE = '<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var
     ],
 )
 def test_main_text(inside, text):
-    roots, _ = html_text.content(html_text.parse(PAGE.replace("{}", inside)))
-    assert "\n".join(html_text.blocks_of(roots)) == text
+    assert html_text.main_text(PAGE.replace("{}", inside), None) == text
 
 
 @pytest.mark.parametrize(
@@ -199,8 +198,7 @@ def test_main_text(inside, text):
     ],
 )
 def test_no_part_of_the_main_text_is_lost(inside, text):
-    roots, _ = html_text.content(html_text.parse(PAGE.replace("{}", inside)))
-    assert "\n".join(html_text.blocks_of(roots)) == text
+    assert html_text.main_text(PAGE.replace("{}", inside), None) == text
 
 
 @pytest.mark.parametrize("name", ["layout has-sidebar", "no-comments", "paywall-free", "no-sidebar", "widget", "post category-search tag-social", "search-results-page"])
@@ -212,13 +210,87 @@ def test_names_of_layout_and_topic_drop_no_text(name):
         roots, _ = html_text.content(html_text.parse(page))
         assert "\n".join(html_text.blocks_of(roots)) == "The body, most of the text of the page", inside
     many = "".join(f"<article class='post category-{c}'><p>About {c}</p></article>" for c in ("search", "social", "comments"))
-    roots, _ = html_text.content(html_text.parse(PAGE.replace("{}", many)))
-    assert "\n".join(html_text.blocks_of(roots)) == "About search\nAbout social\nAbout comments"
+    assert html_text.main_text(PAGE.replace("{}", many), None) == "About search\nAbout social\nAbout comments"
+
+
+def test_tags_with_odd_quotes_keep_their_text():
+    for inside, text in (("<p class=\"a\"\">One</p><p>Two</p>", "One\nTwo"), ("<p data-x=it's>Hello one</p><p>it's two</p>", "Hello one\nit's two"), ("<p title='a>b' class=x>C</p>", "C"), ("<p title=\"open>D</p><p>E</p>", "D\nE"), ("<p a= >F</p><p =b>G</p>", "F\nG")):
+        assert html_text.main_text("<article>" + inside + "</article>", None) == text, inside
+
+
+def test_deep_pages_are_read_in_linear_time():
+    for page, text in (("<div>" * 100_000 + "deep", "deep"), ("<b>" * 100_000 + "x" + "</b>" * 100_000, "x"), ("<i><div>" + "<b>" * 50_000 + "</i>" * 50_000 + "y", "y"), ("<div>" * 50_000 + "</section></p>" * 50_000 + "z", "z"), ("<p title=\"" * 50_000, ""), ("<ul>" + "<li>a" * 30_000 + "</ul>", "\n".join("a" * 30_000))):
+        assert html_text.main_text(page, None) == text
+
+
+def test_marks_are_whole_names():
+    assert all(html_text.marks(x) for x in ("ad", "ad-slot", "cookie-notice", "post-comments", "related_posts", "site-footer"))
+    assert not any(html_text.marks(x) for x in ("has-sidebar", "no-comments", "ad-free", "tag-search", "category-social", "shadow", "post", "post-body", "comments-off", "paywall-free"))
+
+
+def brute_template(pages, least, part, within, least_within):
+    """Of pages (host, article, blocks beside, blocks within): the blocks to delete, by plain sets."""
+    hosts, beside, inside = {}, {}, {}
+    for host, article, out, own in pages:
+        hosts.setdefault(host, set()).add(article)
+        for x in out:
+            beside.setdefault((host, x), set()).add(article)
+        for x in own:
+            inside.setdefault((host, x), set()).add(article)
+    return {k for k, v in beside.items() if len(v) >= least}, {k for k, v in inside.items() if len(v) >= max(least, least_within, within * len(hosts[k[0]]))}
+
+
+def test_template_counts_are_brute_force(spark):
+    """Random pages with menus beside and boxes within the article: (host, place, subtree) found is that of plain sets of texts."""
+    rng = random.Random(12)
+    made, rows = [], []
+    for k in range(260):
+        host = rng.choice(["a.x", "a.x", "b.x", "c.x"])
+        story = f"story {rng.randint(0, 60)} " + "of some length " * 8
+        beside = {f"menu {rng.randint(0, 25)}" for _ in range(3)}
+        within = {f"quote {rng.randint(0, 6)}"} | ({"share this"} if host != "b.x" else set())
+        article = "\n".join([story.strip(), *sorted(within)])
+        made.append((host, article, beside, within))
+        rows.append((k, f"http://{host}/{k}", "<body>" + "".join(f"<div class=m>{x}</div>" for x in sorted(beside)) + f"<article><p>{story}</p>" + "".join(f"<p>{x}</p>" for x in sorted(within)) + "</article></body>"))
+    beside, inside = brute_template(made, html_text.LEAST, html_text.OPEN, html_text.INSIDE, html_text.LEAST_INSIDE)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {(r.host, r.place, r.subtree) for r in html_text.templates(html_text.subtrees(pages, "url", "html")).collect()}
+
+    def hash_in(page, tag):
+        order = html_text.parse(page)
+        return next(h for e, h in zip(order, html_text.subtree_hashes(order)[0], strict=True) if e.tag == tag)
+
+    expected = {(h, html_text.BESIDE, hash_in(f"<div class=m>{x}</div>", "div")) for h, x in beside} | {(h, html_text.WITHIN, hash_in(f"<p>{x}</p>", "p")) for h, x in inside}
+    assert found == expected and len(beside) > 20 and {x for _, x in inside} == {"share this"}
+    got = {r.page_id: r.text for r in html_text.report(pages).collect()}
+    for (k, *_), (host, article, _, _) in zip(rows, made, strict=True):
+        assert got[k] == "\n".join(x for x in article.split("\n") if (host, x) not in inside)
+
+
+def test_template_decides_where_nothing_is_marked(spark):
+    """Pages of bare divs: menus, notices and footers that no tag or name gives away go by their recurrence alone."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for k in range(30):
+        story = [f"Part {j} of story {k}, " + " ".join(rng.choices("red green blue old new".split(), k=12)) for j in range(3)]
+        links = "".join(f"<div><a href=/{x}>{x}</a></div>" for x in ("Home", "News", "About us"))
+        rows.append((k, "http://bare.example/", f"<div><div>{links}</div><div>We keep to the rules of this house</div><div>{''.join(f'<p>{x}</p>' for x in story)}</div><div>All rights with the makers</div></div>"))
+        want[k] = "\n".join(story)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.report(pages).collect()} == want
+    assert all(html_text.main_text(h, None) != want[k] for k, _, h in rows)
+
+
+def test_an_article_copied_into_other_surroundings_stays(spark):
+    body = "<div><h1>Same</h1><p>One and the same text of some length</p><p>And its end, which is as long</p></div>"
+    rows = [(k, "http://copies.example/", f"<div>Notice of the day number {k}</div>{body}") for k in range(9)]
+    got = [r.text for r in html_text.report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
+    assert all("One and the same text" in t and "And its end" in t for t in got)
 
 
 def test_unclosed_and_odd_pages():
     for page in ("<", "<a", "<article><p>x", "</p></div>", "<!-- x", "<script>", "a<b>c</i>d", "&am", "<" * 50, "<div>" * 3000 + "deep"):
-        html_text.blocks_of(html_text.content(html_text.parse(page))[0])
+        html_text.main_text(page, None)
 
 
 def test_site_template_is_removed(spark):
