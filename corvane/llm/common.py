@@ -10,13 +10,21 @@ from corvane.sources.scratch import application_folder, scratch_folder, written
 #: Maps a UTF-8 byte to itself if it belongs to a word, A-Z to a-z and every other byte to a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
-__all__ = ["WORD_BYTES", "blocks", "mix64", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
+__all__ = ["WORD_BYTES", "blocks", "free_name", "mix64", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has."""
+    taken, out = {c.lower() for f in frames for c in f.columns}, f"__{name}"
+    while out.lower() in taken:
+        out += "_"
+    return out
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The maximal runs of 0-9, a-z and non-ASCII after lower-casing A-Z, as UTF-8."""
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()
