@@ -202,14 +202,60 @@ def test_rules(spark, monkeypatch, most):
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ("allow", "block") and (verdict is None or r.verdict == verdict)
 
 
+def judged(model, urls):
+    return {r.url: r["__blocked"] for r in model.judged(url_filter.placed(urls, "url")).collect()}
+
+
 def test_trees_judge_the_rest(spark, data):
+    """Held-out hosts: the trees learn from four fifths of the hosts' labelled urls and are measured on the rest, against the majority answer."""
+    pages = spark.read.parquet(f"{data.replace('0.001', '0.1')}/pages.parquet")
+    labelled = url_filter.placed(url_filter.labelled_sample(pages, n=2500), "url").withColumn("held", F.pmod(F.xxhash64("__host", F.lit("held")), F.lit(5)) == 0).cache()
+    model = url_filter.Model(labelled.where("NOT held").select("url", "blocked"))
+    used = [f for f, x in zip(url_filter.FEATURES, model.trees.featureImportances.toArray(), strict=True) if x > 0.005]
+    assert len(used) >= 4 and "suffix_blocked" in url_filter.FEATURES, used
+    held = labelled.where("held").select("url", "blocked").distinct().cache()
+    found, truth = judged(model, held.select("url")), {r.url: r.blocked for r in held.collect()}
+    right = sum((found[u] == 1.0) == y for u, y in truth.items()) / len(truth)
+    majority = max(sum(truth.values()), len(truth) - sum(truth.values())) / len(truth)
+    hit = sum(found[u] for u, y in truth.items() if y) / sum(truth.values())
+    assert len(truth) > 300 and right > 0.9 > majority and hit > 0.8, (right, majority, hit)
+    probes = {"https://ads.example.org/x": 1.0, "https://casino.example.net/en/1": 1.0, "https://my-garden.example.com/en/1": 0.0, "https://www.news-city.example.org/2": 0.0}
+    assert judged(model, spark.createDataFrame([(u,) for u in probes], "url string")) == probes
+    labelled.unpersist()
+
+
+def test_filtered_keeps_columns_and_follows_labels(spark, data):
     pages = spark.read.parquet(f"{data.replace('0.001', '0.01')}/pages.parquet")
     rows = url_filter.filtered(pages.withColumn("rank", F.lit(1)))
-    assert rows.columns == [*pages.columns, "rank", "host", "path", "rule", "verdict"]
+    assert rows.columns == [*pages.columns, "rank", "host", "path", "rule", "verdict"] and rows.count() == pages.count()
     rest = rows.where("rule IS NULL").collect()
-    wrong = sum((r.verdict == "block") != bool(set(r.host.replace("-", ".").split(".")) & set(url_filter.WORDS)) for r in rest)
-    assert wrong <= 0.05 * len(rest)
+    listed = lambda h: bool(set(h.replace("-", ".").split(".")) & set(url_filter.WORDS))
+    assert sum((r.verdict == "block") != listed(r.host) for r in rest) <= 0.05 * len(rest)
     assert url_filter.report(pages.where("page_id < 0")).count() == 0
+    own = spark.createDataFrame([(f"http://{w}{k}.t.xy/a", w == "bad") for k in range(60) for w in ("bad", "good")], "url string, blocked boolean")
+    got = {r.host: r.verdict for r in url_filter.filtered(spark.createDataFrame([(1, "http://bad.t.xy/z"), (2, "http://good.t.xy/z")], "page_id long, url string"), rules=(), labelled=own).collect()}
+    assert got == {"bad.t.xy": "block", "good.t.xy": "allow"}
+
+
+def test_suffixes_and_words(spark):
+    hosts = ["a.b.example.com", "x.example.co.uk", "co.uk", "com", "", "casino77-win.x.org"]
+    rows = spark.createDataFrame([(h,) for h in hosts], "h string").select(url_filter.suffix_of(F.col("h")).alias("s"), url_filter.words_of_host(F.col("h")).alias("w")).collect()
+    assert [r.s for r in rows] == ["example.com", "example.co.uk", "co.uk", "com", "", "x.org"] and rows[5].w == ["casino", "win", "x", "org"] and rows[4].w == []
+
+
+def test_statistics_are_out_of_fold(spark):
+    """A word or suffix that only one host has tells the trees nothing of that host's label; plain sums over the other folds give the rest."""
+    rng = random.Random(4)
+    rows = [(f"http://w{rng.choice('abc')}.n{rng.randint(0, 12)}.xy/{k}", rng.random() < 0.4) for k in range(120)]
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    model = url_filter.Model(labelled)
+    made = url_filter.lexical(url_filter.placed(labelled.select("url", F.col("blocked").cast("double").alias("label")), "url")).withColumn("__fold", F.pmod(F.xxhash64("__host"), F.lit(url_filter.FOLDS))).drop("__url")
+    got = model._out_of_fold(made, made.select("url", "__fold", "label", F.explode("__words").alias("w"))).collect()
+    base = sum(y for _, y in rows) / len(rows)
+    of = {r.url: (r["__suffix"], r["__fold"], r.label) for r in got}
+    for r in got:
+        others = [y for s, fold, y in of.values() if s == r["__suffix"] and fold != r["__fold"]]
+        assert abs(r.suffix_blocked - (sum(others) + url_filter.PRIOR * base) / (len(others) + url_filter.PRIOR)) < 1e-9
 
 
 # Mixing
