@@ -3,15 +3,15 @@
 Words are the runs of 0-9, a-z and non-ASCII after lower-casing A-Z. A window is `width` consecutive words of an item; an item
 of fewer words, but not none, is one window. A document's word is hit if it is inside an occurrence of a window.
 
-The benchmark's windows go to the executors as hashes with the exact windows behind them; a hash that is met is verified
+The benchmark's windows go to the executors as sorted hashes with their places in the items' words; a hash that is met is verified
 word by word. A benchmark of more than `most_chars` characters is split by hash of its rows into as many parts as keep each part
-under that size, and the documents are scanned once for each part; so what is broadcast at once never exceeds the bound.
+near that size. The documents are scanned once for each part, and each scan is written before the next part is broadcast; so
+what the driver and a worker hold at once never exceeds the bound, give or take the hash and the longest item.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -21,26 +21,42 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import blocks, mix64, words_of
+from corvane.llm.common import blocks, free_name, mix64, words_of, written
 
-WIDTH, MOST_CHARS, CHARS = 10, 32_000_000, 4_000_000
+#: Of the benchmark's characters that are held at once, 8 million take about 60 MB, and 240 MB if no word recurs.
+WIDTH, MOST_CHARS, CHARS = 10, 8_000_000, 4_000_000
 POWERS = [np.uint64(pow(0xD1342543DE82EF95, j + 1, 1 << 64)) for j in range(64)]
 HITS = "struct<n_words:bigint,hits:array<struct<start:int,stop:int>>,items:array<string>,contaminated:boolean>"
 
 
 class Windows:
-    """The windows of some benchmark items: a vocabulary, and for each length sorted hashes and the exact windows with their items."""
+    """The windows of some benchmark items: a vocabulary, the items' words one after another, and for each length the windows' hashes, sorted, with their places."""
 
     def __init__(self, items: list[tuple[str, str | None]], width: int) -> None:
         self.ids: dict[bytes, int] = {}
-        exact: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
+        self.names, parts, lengths = [], [], []
         for item, text in items:
-            words = [self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text)]
-            n = min(width, len(words))
-            for i in range(len(words) - n + 1) if n else ():
-                exact[n][tuple(words[i : i + n])].add(item)
-        self.exact = {n: {k: sorted(v) for k, v in windows.items()} for n, windows in exact.items()}
-        self.hashes = {n: np.sort(sum(mix64(np.array([k[j] for k in windows], np.uint64)) * POWERS[j] for j in range(n))) for n, windows in self.exact.items()}
+            own = [self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text)]
+            self.names.append(item)
+            parts.append(np.array(own, np.int32))
+            lengths.append(len(own))
+        self.words = np.concatenate([*parts, np.zeros(0, np.int32)])
+        self.starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int64)
+        mixed = mix64(self.words.astype(np.uint64))
+        self.hashes: dict[int, np.ndarray] = {}
+        self.places: dict[int, np.ndarray] = {}
+        for n in sorted({min(width, k) for k in lengths} - {0}):
+            at = np.concatenate([np.arange(s, s + k - n + 1) for s, k in zip(self.starts, lengths, strict=False) if min(width, k) == n])
+            h = sum(mixed[at + j] * POWERS[j] for j in range(n))
+            order = np.argsort(h, kind="stable")
+            self.hashes[n], self.places[n] = h[order], at[order]
+
+    def items_with(self, n: int, h: np.uint64, own: np.ndarray) -> set[str]:
+        """The items that hold these n words."""
+        first, last = np.searchsorted(self.hashes[n], h), np.searchsorted(self.hashes[n], h, "right")
+        at = self.places[n][first:last]
+        same = at[(self.words[at[:, None] + np.arange(n)] == own).all(1)]
+        return {self.names[k] for k in np.unique(np.searchsorted(self.starts, same, "right") - 1).tolist()}
 
     def find(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
         """For each text its number of words, its hit stretches of words (start, stop), and the items met."""
@@ -60,9 +76,14 @@ class Windows:
                 continue
             h = sum(mixed[at + j] * POWERS[j] for j in range(n))
             met = hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
-            for i in at[met].tolist():
-                if items := self.exact[n].get(tuple(ids[i : i + n].tolist())):
-                    doc = int(np.searchsorted(starts, i, "right")) - 1
+            verified: dict[bytes, set[str]] = {}  # a window that recurs is verified once
+            docs = np.searchsorted(starts, at[met], "right") - 1
+            for i, doc, value in zip(at[met].tolist(), docs.tolist(), h[met], strict=True):
+                own = ids[i : i + n]
+                key = own.tobytes()
+                if key not in verified:
+                    verified[key] = self.items_with(n, value, own)
+                if items := verified[key]:
                     found[doc][1].append((i - int(starts[doc]), i - int(starts[doc]) + n))
                     found[doc][2].update(items)
         return found
@@ -116,22 +137,25 @@ def _finder(windows: Broadcast):
     return find
 
 
-def hit(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH, most_chars: int = MOST_CHARS) -> DataFrame:
-    """docs with __hits: struct of n_words, hits (stretches of words, merged), items (as strings, sorted as strings), contaminated.
+def hit(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH, most_chars: int = MOST_CHARS, out_col: str = "__hits") -> DataFrame:
+    """docs with out_col: struct of n_words, hits (stretches of words, merged), items (as strings, sorted as strings), contaminated.
 
-    A null or wordless document has none. Items without words never hit; a null item id is named "". Repeated items count once.
-    An empty benchmark hits nothing. Columns of docs are kept, whatever their names.
+    A null or wordless document has none. Items without words never hit; a null item id is named "". Repeated items count once,
+    repeated documents each. An empty benchmark hits nothing; empty docs give no rows. Columns of docs are kept; one named out_col is replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / most_chars))
-    out = docs.withColumn("__hits", F.lit(None).cast(HITS))
+    out = docs.withColumn(out_col, F.lit(None).cast(HITS))
     for part in range(parts):
         rows = items.where(F.expr(f"pmod(xxhash64(item, text), {parts}) = {part}")).collect()  # at most most_chars, give or take the hash
         windows = spark.sparkContext.broadcast(Windows([(r.item, r.text) for r in rows], width))
-
-        out = out.withColumn("__hits", F.arrow_udf(_finder(windows), HITS)(F.col(text_col), F.col("__hits")))
+        del rows
+        out = out.withColumn(out_col, F.arrow_udf(_finder(windows), HITS)(F.col(text_col), F.col(out_col)))
+        if parts > 1:
+            out = written(out, "hits")
+            windows.destroy()
     return out
 
 
@@ -150,15 +174,16 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> Dat
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documents") -> DataFrame:
     """docs without their contaminated rows (remove="documents") or without the hit stretches of their texts (remove="spans")."""
-    found = hit(docs, benchmark)
+    own = free_name("hits", docs)
+    found = hit(docs, benchmark, out_col=own)
     if remove == "documents":
-        return found.where("NOT __hits.contaminated").drop("__hits")
+        return found.where(f"NOT `{own}`.contaminated").drop(own)
 
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, hits in batches:
             yield pa.array([spans_removed(t, [(x["start"], x["stop"]) for x in h["hits"]]) for t, h in zip(text.to_pylist(), hits.to_pylist(), strict=True)], pa.string())
 
-    return found.withColumn("text", F.arrow_udf(cut, "string")(F.col("text"), F.col("__hits"))).drop("__hits")
+    return found.withColumn("text", F.arrow_udf(cut, "string")(F.col("text"), F.col(own))).drop(own)
 
 
 #: The report in SQL.

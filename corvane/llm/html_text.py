@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import written
+from corvane.llm.common import free_name, written
 
 #: Element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -458,7 +458,7 @@ def extracted(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
 
     A null url has the empty host. Rows are counted and read each by itself, so repeated rows get equal texts, and copies of a page
     count as one article. An empty table gives no rows. Template hashes are broadcast up to MOST_BROADCAST; beyond, each
-    page's own subtrees are joined with them, so that no host's template is ever gathered.
+    page's own subtrees are joined with them, so that no host's template is ever gathered. Columns of pages are kept; one named __text is replaced.
     """
     each = subtrees(pages, url_col, html_col)
     found = written(templates(each), "templates")
@@ -485,10 +485,11 @@ def extracted(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
 
     # Pages of one host and one html have the same template, so that the key need not tell them apart.
     own = each.join(found, ["host", "place", "subtree"]).groupBy("host", "page").agg(F.collect_set(F.struct("place", "subtree")).alias("__site"))
-    own = own.select(F.struct("host", "page").alias("__page"), "__site")
-    keys = pages.withColumn("__page", F.arrow_udf(keyed, "struct<host:string,page:bigint>")(F.col(html_col), F.col(url_col)))
-    joined = keys.join(own, "__page", "left").drop("__page")
-    return joined.withColumn("__text", F.arrow_udf(run_joined, "string")(F.col(html_col), F.col("__site"))).drop("__site")
+    key, of_page = free_name("page", pages), free_name("site", pages)
+    own = own.select(F.struct("host", "page").alias(key), F.col("__site").alias(of_page))
+    keys = pages.withColumn(key, F.arrow_udf(keyed, "struct<host:string,page:bigint>")(F.col(html_col), F.col(url_col)))
+    joined = keys.join(own, key, "left").drop(key)
+    return joined.withColumn("__text", F.arrow_udf(run_joined, "string")(F.col(html_col), F.col(of_page))).drop(of_page)
 
 
 def report(pages: DataFrame) -> DataFrame:

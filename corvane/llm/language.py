@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import written
+from corvane.llm.common import free_name, written
 
 DIMENSIONS, GRAM, SEED = 512, 3, 20260101
 #: The bound of the training sample, in documents of each language; rows of the table of n-gram vectors that are held at a time.
@@ -164,18 +164,19 @@ def levels(labelled: DataFrame, names: list[str], sums: np.ndarray) -> dict[str,
 
 
 def training_sample(docs: DataFrame, id_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(lang, text) of at most `rows` documents of each language: those of the least hash of their id.
+    """(lang, text) of at most `rows` documents of each language: those of the least hash of their id and text. Repeated rows are one document.
 
-    The ids are chosen without their texts. A language's count says which part of the hashes holds its first `rows`, with room
-    to spare, and only ids in that part are ranked; so no task ranks a language's every id.
+    The hashes are chosen without their texts. A language's count says which part of the hashes holds its first `rows`, with room
+    to spare, and only hashes in that part are ranked; so no task ranks a language's every document.
     """
-    ids = docs.where("lang IS NOT NULL").select("lang", F.col(id_col).alias("__id"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)).alias("__hash"))
-    share = ids.groupBy("lang").agg(F.count("*").alias("__all")).select("lang", (F.lit(float(1 << 40)) * (rows + 8 * rows**0.5 + 64) / F.col("__all")).alias("__most"))
-    share = written(share, "shares")  # a row for each language: broadcast if Spark finds it small, so that ids aren't dealt out by language
-    first = ids.join(share, "lang").where("__hash <= __most").withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy("__hash", "__id")))
+    every = docs.where("lang IS NOT NULL").select("lang", "text", F.pmod(F.xxhash64(F.col(id_col), "text"), F.lit(1 << 62)).alias("hash"))
+    share = every.groupBy("lang").agg(F.count("*").alias("all")).select("lang", (F.lit(float(1 << 62)) * (rows + 8 * rows**0.5 + 64) / F.col("all")).alias("most"))
+    share = written(share, "shares")  # a row for each language: broadcast if Spark finds it small, so that documents aren't dealt out by language
+    near = every.select("lang", "hash").join(share, "lang").where("hash <= most").select("lang", "hash").distinct()
+    first = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("hash")))
     # rows times languages: small enough to be broadcast by Spark's own check of its size
-    chosen = written(first.where(f"__n <= {rows}").select(F.col("__id").alias("__chosen")).distinct(), "chosen")
-    return docs.where("lang IS NOT NULL").join(chosen, F.col(id_col) == F.col("__chosen"), "left_semi").select("lang", "text")
+    chosen = written(first.where(f"n <= {rows}").select("lang", "hash"), "chosen")
+    return every.join(chosen, ["lang", "hash"], "left_semi").groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", low: dict[str, float] | None = None) -> DataFrame:
@@ -208,8 +209,9 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: st
                     scores.append(round(min(1.0, max(0.0, float(cosines[best]))), 6))
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
 
-    out = docs.withColumn("__language", F.arrow_udf(predict, "struct<lang:string,score:double>")(F.col(text_col)))
-    return out.withColumns({"lang_pred": F.col("__language.lang"), "score": F.col("__language.score")}).drop("__language")
+    own = free_name("language", docs)
+    out = docs.withColumn(own, F.arrow_udf(predict, "struct<lang:string,score:double>")(F.col(text_col)))
+    return out.withColumns({"lang_pred": F.col(f"{own}.lang"), "score": F.col(f"{own}.score")}).drop(own)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -27,12 +27,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import blocks, settled, words_of, written
+from corvane.llm.common import blocks, free_name, settled, words_of, written
 from corvane.llm.shingles import band_hashes, prob_min_hash, shingle_hashes, weighted
 
 THRESHOLD, BANDS, ROWS = 0.8, 32, 5
-#: Characters whose shingles are held at a time; members of a bucket that meet in one block; shingles marked in a matrix at a time.
-CHARS, BLOCK, COLUMNS = 4_000_000, 1024, 4096
+#: Characters whose shingles are held at a time; members of a bucket, and bytes of their differences, that meet in one block on either
+#: side; shingles marked in a matrix at a time; members of a bucket that are verified beside one copy of their pivot's text.
+CHARS, BLOCK, BLOCK_BYTES, COLUMNS, RAYS = 4_000_000, 1024, 16_000_000, 4096, 4096
+
+
+def key_of(text: str | None) -> bytes | None:
+    """The same for texts of the same words; None without words."""
+    return hashlib.blake2b(b" ".join(w), digest_size=16).digest() if (w := words_of(text)) else None
+
+
+def _keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([key_of(t.as_py()) for t in batch], pa.binary())
 
 
 def _signer(bands: int, rows: int):
@@ -41,7 +52,7 @@ def _signer(bands: int, rows: int):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for start, stop in blocks([len(t or "") for t in texts], CHARS):
                 part = texts[start:stop]
-                keys = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() if (w := words_of(t)) else None for t in part]
+                keys = [key_of(t) for t in part]
                 sets = [weighted(t) for t in part]
                 owner = np.repeat(np.arange(len(part)), [len(s[0]) for s in sets])
                 signature = prob_min_hash(np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]), owner, len(part), bands * rows)
@@ -119,8 +130,15 @@ def _crossing(threshold: float):
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Distinct pairs (id, pivot) with what the whole texts (id, text) of both tell about them."""
-    joined = pairs.join(texts.select("id", F.col("text").alias("ta")), "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tb")), "pivot")
+    """Distinct pairs (id, pivot) with what the whole texts (id, text, one row each) of both tell about them.
+
+    pairs has the size n of their bucket too. The rays of a pivot of many are dealt to ceil(n / RAYS) copies of its text.
+    """
+    salts = F.expr(f"ceil(n / {RAYS})")
+    pairs = written(pairs.groupBy("id", "pivot").agg(F.max("n").alias("n")).select("id", "pivot", salts.alias("salts"), F.pmod(F.xxhash64("id"), salts).alias("salt")), "pairs")
+    dealt = ["pivot", "salts", "salt"]
+    pivots = pairs.select(*dealt).distinct().join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tb")), "pivot")
+    joined = pairs.join(texts.select("id", F.col("text").alias("ta")), "id").join(pivots, dealt)
     found = joined.select("id", "pivot", "ta", "tb").where("ta IS NOT NULL AND tb IS NOT NULL")
     return found.mapInArrow(_verifier(), "id long, pivot long, similarity double, n int, n_pivot int, lacks binary, adds binary")
 
@@ -145,64 +163,105 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct(), "edges")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, copy_of, class_id), one row per distinct id: the least id of the documents of the same words, and of the class.
+class Nodes:
+    """The documents as nodes: a row's id, but where rows repeat an id each of its different texts is a node of its own.
 
-    A document without words (null, empty, only punctuation) is alone in its class. Rows that repeat an id are one document,
-    linked to whatever one of its texts is linked to. A null id has a null class. An empty table gives an empty result.
+    signed: (id, key, bands) of every row with an id, those without words included. again: the ids that repeat (usually none or few).
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = written(texts.where("id IS NOT NULL").mapInArrow(_signer(bands, rows), "id long, key binary, bands array<long>"), "signed")
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> None:
+        self.rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        texts = self.rows.where("id IS NOT NULL")
+        signed = written(texts.mapInArrow(_signer(bands, rows), "id long, key binary, bands array<long>"), "signed")
+        again = written(signed.groupBy("id").count().where("count > 1").select("id"), "again")
+        self.again = None if again.isEmpty() else again
+        self.texts, self.signed = texts, signed.withColumn("node", F.col("id"))
+        if self.again is not None:
+            own = lambda t: t.join(again.select("id", F.lit(True).alias("repeats")), "id", "left")
+            node = F.when(F.col("repeats") & F.col("key").isNotNull(), F.xxhash64("id", "key")).otherwise(F.col("id"))
+            self.signed = written(own(signed).withColumn("node", node).drop("repeats"), "signed")
+            rest = own(texts).where("repeats").withColumn("key", F.arrow_udf(_keys, "binary")(F.col("text"))).withColumn("node", node)
+            self.texts = texts.join(again, "id", "left_anti").unionByName(rest.groupBy("node").agg(F.min("text").alias("text")).withColumnRenamed("node", "id"))
+
+
+def classed(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, rows: int) -> tuple[DataFrame, Nodes]:
+    """(id, key, node, copy_of, class_id, kept), one row for each row with an id: the node of its class that has the least id is kept."""
+    nodes = Nodes(docs, id_col, text_col, bands, rows)
+    signed, texts = nodes.signed, nodes.texts
 
     worded = signed.where("key IS NOT NULL")
-    first = written(worded.groupBy("key").agg(F.min("id").alias("copy_of")), "first")
-    copy_of = written(worded.select("id", "key").join(first, "key").select("id", "copy_of"), "copies")
-    leads = worded.join(copy_of.where("id = copy_of").select("id"), "id", "left_semi")
+    # Where no id repeats, nodes are ids, and their minimum needs no structs, which Spark would sort to aggregate.
+    least = lambda rows, by: rows.groupBy(by).agg(F.min("id").alias("id")).withColumn("node", F.col("id")) if nodes.again is None else rows.groupBy(by).agg(F.min(F.struct("id", "node")).alias("l")).select(by, "l.*")
+    first = written(least(worded, "key").select("key", F.col("id").alias("copy_of"), F.col("node").alias("lead")), "first")
+    copies = written(worded.select("id", "key", "node").distinct().join(first, "key").select("id", "key", "node", "copy_of", "lead"), "copies")
+    leads = worded.join(copies.where("node = lead").select("node"), "node", "left_semi")
 
-    banded = leads.select("id", F.explode("bands").alias("bucket"))
+    banded = leads.select(F.col("node").alias("id"), F.explode("bands").alias("bucket")).distinct()
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(banded.join(shared, "bucket").distinct(), "members")
+    members = written(banded.join(shared, "bucket"), "members")
     central = members.groupBy("id").agg(F.sum("n").alias("weight"))
     pivots = members.join(central, "id").groupBy("bucket").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("pivot"))
     stars = written(members.join(pivots, "bucket"), "stars")
-    rays = written(verified(stars.where("id <> pivot").select("id", "pivot").distinct(), texts), "rays")
+    rays = written(verified(stars.where("id <> pivot").select("id", "pivot", "n"), texts), "rays")
     links = rays.where(F.col("similarity") >= threshold).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     found = written(components(links), "components")
 
     placed = written(stars.join(found, "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component")), "placed")
     centre = placed.where("id = pivot").select("bucket", F.col("component").alias("centre"))
     opened = placed.join(centre, "bucket").withColumn("asks", F.expr("component <> centre"))
-    sizes = opened.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).where("n > 2 AND asking > 0")
-    opened = opened.join(sizes, "bucket").where("id <> pivot").join(rays, ["id", "pivot"])
-    what = ["bucket", "id", "component", "n_shingles", "n_pivot", "lacks", "adds"]
-    opened = opened.select("bucket", "id", "component", "asks", "asking", sizes["n"].alias("size"), rays["n"].alias("n_shingles"), "n_pivot", "lacks", "adds")
-    mine = lambda n: F.expr(f"pmod(xxhash64(id), ceil({n} / {BLOCK}))")
-    every = lambda n: F.explode(F.expr(f"sequence(0L, ceil({n} / {BLOCK}) - 1)"))
-    asked = opened.select(*what, F.lit(False).alias("asks"), mine("size").alias("there"), every("asking").alias("here"))
-    asking = opened.where("asks").select(*what, F.lit(True).alias("asks"), every("size").alias("there"), mine("asking").alias("here"))
-    block = F.collect_list(F.struct("id", "component", F.col("n_shingles").alias("n"), "n_pivot", "lacks", "adds", "asks"))
+    open_buckets = opened.groupBy("bucket").agg(F.count("*").alias("members"), F.count_if("asks").alias("asking")).where("members > 2 AND asking > 0").select("bucket")
+    rays = rays.withColumn("bytes", F.length("lacks") + F.length("adds"))
+    opened = opened.join(open_buckets, "bucket", "left_semi").where("id <> pivot").join(rays, ["id", "pivot"])
+    # So many blocks on either side that none holds over BLOCK members or BLOCK_BYTES of differences, give or take the hash.
+    blocks_of = lambda which: F.greatest(F.ceil(F.count_if(which) / BLOCK), F.ceil(F.sum(F.when(which, F.col("bytes")).otherwise(0)) / BLOCK_BYTES), F.lit(1))
+    sizes = opened.groupBy("bucket").agg(blocks_of(F.lit(True)).alias("blocks"), blocks_of(F.col("asks")).alias("asking_blocks"))
+    what = ["bucket", "id", "component", "n", "n_pivot", "lacks", "adds"]
+    opened = opened.join(sizes, "bucket").select(*what, "asks", "blocks", "asking_blocks")
+    mine = lambda n: F.expr(f"pmod(xxhash64(id), {n})")
+    every = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1L)"))
+    asked = opened.select(*what, F.lit(False).alias("asks"), mine("blocks").alias("there"), every("asking_blocks").alias("here"))
+    asking = opened.where("asks").select(*what, F.lit(True).alias("asks"), every("blocks").alias("there"), mine("asking_blocks").alias("here"))
+    block = F.collect_list(F.struct("id", "component", "n", "n_pivot", "lacks", "adds", "asks"))
     grouped = asked.unionByName(asking).groupBy("bucket", "there", "here").agg(block.alias("block"))
     later = grouped.where("exists(block, x -> x.asks) AND exists(block, x -> NOT x.asks)").select("block").mapInArrow(_crossing(threshold), "a long, b long")
     later = written(later.distinct(), "later")
     if not later.isEmpty():
         found = written(components(links.union(later)), "components")
 
-    classed = copy_of.join(found, copy_of["copy_of"] == found["id"], "left").select(copy_of["id"], "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
-    classed = classed.groupBy("id").agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"))
-    alone = signed.select("id").distinct().join(classed.select("id"), "id", "left_anti").select("id", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
-    nowhere = texts.where("id IS NULL").select("id").distinct().select("id", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
-    return classed.union(alone).union(nowhere).withColumnRenamed("id", id_col)
+    found = found.withColumnRenamed("id", "lead")
+    own = copies.join(found, "lead", "left").withColumn("component", F.coalesce("component", "lead"))
+    kept = least(own, "component").select("component", F.col("id").alias("class_id"), F.col("node").alias("kept"))
+    own = written(own.join(kept, "component").select("node", "copy_of", "class_id", "kept").distinct(), "classes")
+    alone = lambda c: F.coalesce(c, F.col("id"))
+    every_row = signed.select("id", "key", "node").join(own, "node", "left")
+    return every_row.select("id", "key", "node", alone("copy_of").alias("copy_of"), alone("class_id").alias("class_id"), F.coalesce("kept", "node").alias("kept")), nodes
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(id, copy_of, class_id), one row for each row: the least id of the documents of the same words, and of the class.
+
+    A document without words (null, empty, only punctuation) is alone in its class. Rows that repeat an id are documents of their own
+    where their words differ, and so may be of different classes. A null id has a null class. An empty table gives an empty result.
+    """
+    found, nodes = classed(docs, id_col, text_col, threshold, bands, rows)
+    nowhere = nodes.rows.where("id IS NULL").select("id", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
+    return found.select("id", "copy_of", "class_id").union(nowhere).withColumnRenamed("id", id_col)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row for each class: that of its least id. Of rows that repeat an id, one stays; rows of a null id all stay."""
-    kept = settled(near_duplicates(docs, id_col, text_col).where(f"{id_col} = class_id").select(F.col(id_col).alias("__kept")))
-    out = docs.join(kept, docs[id_col] == kept["__kept"]).drop("__kept")
-    counts = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
-    if not counts.isEmpty():
-        again = counts.select(F.col(id_col).alias("__again"))
-        once = out.join(again, out[id_col] == again["__again"], "left_anti")
-        # Rows of one id are few; one of them is chosen by its content.
-        rest = out.join(again, out[id_col] == again["__again"], "left_semi").groupBy(id_col).agg(F.min(F.struct(*[c for c in out.columns if c != id_col])).alias("__row"))
-        out = once.unionByName(rest.select(id_col, "__row.*"))
+    """docs with one row for each class: one of its least id. Rows of the same id and words are one document, of which one row stays (of
+    those without words as well); rows of a null id all stay."""
+    found, nodes = classed(docs, id_col, text_col, THRESHOLD, BANDS, ROWS)
+    name = free_name("kept", docs)
+    kept = settled(found.where("node = kept").select(F.col("id").alias(name), "key").distinct())
+    if nodes.again is None:
+        out = docs.join(kept.select(name), docs[id_col] == kept[name]).drop(name)
+    else:
+        again = nodes.again.select(F.col("id").alias(name))
+        once = docs.join(again, docs[id_col] == again[name], "left_anti")
+        once = once.join(kept.select(name), once[id_col] == kept[name]).drop(name)
+        # Rows of one id and the same words are one document: one of them is chosen by its content.
+        rest = docs.join(again, docs[id_col] == again[name], "left_semi").select(F.struct(*docs.columns).alias("row"), F.arrow_udf(_keys, "binary")(F.col(text_col)).alias("own"))
+        rest = rest.join(kept, (F.col(f"row.{id_col}") == F.col(name)) & F.col("own").eqNullSafe(F.col("key"))).groupBy(name, "own").agg(F.min("row").alias("row"))
+        out = once.unionByName(rest.select("row.*"))
     return out.unionByName(docs.where(F.col(id_col).isNull()))

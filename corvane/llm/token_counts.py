@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.common import free_name
 from corvane.llm.packing import PATTERN, VOCABULARY, encode_piece, encoding
 
 LOOK, RUN = 4, 32
@@ -186,8 +187,9 @@ def counted(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULAR
                 out.append(row | {"n_tokens_edited": tree.n_tokens, "n_reread": tree.encoded - row["n_pretokens"], "n_chars_edited": len(tree.text)})
             yield pa.array(out, pa.struct([(k, pa.int64()) for k in NAMES]))
 
-    out = docs.withColumn("__counts", F.arrow_udf(count, "struct<" + ",".join(f"{k}:bigint" for k in NAMES) + ">")(F.col(text_col)))
-    return out.withColumns({k: F.col(f"__counts.{k}") for k in NAMES}).drop("__counts")
+    own = free_name("counts", docs)
+    out = docs.withColumn(own, F.arrow_udf(count, "struct<" + ",".join(f"{k}:bigint" for k in NAMES) + ">")(F.col(text_col)))
+    return out.withColumns({k: F.col(f"{own}.{k}") for k in NAMES}).drop(own)
 
 
 NAMES = ("n_tokens", "n_tokens_edited", "n_pretokens", "n_reread", "n_chars_edited")

@@ -189,13 +189,13 @@ def filtered(pages: DataFrame, url_col: str = "url", rules=RULES, labelled: Data
     """pages with host, path, rule (host and path of the longest that fits, else null) and verdict (allow or block: the rule's, else the trees').
 
     Null urls and those without '://' have an empty host and path and are judged by their features. Repeated rows are judged alike;
-    an empty table gives no rows. Columns of pages named like the new ones are replaced; names that begin with two underscores are the operator's.
+    an empty table gives no rows. Columns of pages are kept, whatever their names, but for those named like the new ones, which are replaced.
     """
     model = Model(labelled if labelled is not None else labelled_sample(pages, url_col))
-    rows = model.judged(ruled(placed(pages, url_col), rules))
+    own = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    rows = model.judged(ruled(placed(pages.select(F.struct(*own).alias("__row"), F.col(url_col).alias("__given")), "__given"), rules))
     verdict = F.coalesce("__verdict", F.when(F.col("__blocked") > 0.5, "block").otherwise("allow"))
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    return rows.select(*own, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), verdict.alias("verdict"))
+    return rows.select("__row.*", F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), verdict.alias("verdict"))
 
 
 def report(pages: DataFrame) -> DataFrame:

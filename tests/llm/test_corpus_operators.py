@@ -145,12 +145,50 @@ def test_repeated_passages_hide_no_candidate():
 def test_near_dup_edges(spark):
     docs = table_of(spark, [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "en", "s", 1), (2, "a b c d e f", "en", "s", 2), (3, None, None, None, None), (None, "a b c d e f", None, None, None), (4, "", "en", "s", 0)])
     rows = near_dup.near_duplicates(docs).collect()
-    assert Counter((r.doc_id, r.class_id) for r in rows) == Counter([(1, 1), (2, 1), (3, 3), (4, 4), (None, None)])
+    assert Counter((r.doc_id, r.class_id) for r in rows) == Counter([(1, 1), (1, 1), (2, 1), (3, 3), (4, 4), (None, None)])
     kept = near_dup.deduplicated(docs.withColumns({"id": F.lit(1), "bucket": F.lit(2)}))
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 4, None]) and kept.columns == [*docs.columns, "id", "bucket"]
     assert near_dup.near_duplicates(docs.where("doc_id > 9")).count() == 0 and near_dup.deduplicated(docs.where("doc_id > 9")).count() == 0
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    a, c, d = "a b c d e f g h", "q w e r t z u i", "lone words stand here for themselves"
+    docs = spark.createDataFrame([(1, a), (5, a), (5, c), (7, c), (5, c), (9, d), (9, None), (9, ""), (8, d)], "doc_id long, text string")
+    rows = Counter((r.doc_id, r.class_id) for r in near_dup.near_duplicates(docs).collect())
+    assert rows == Counter([(1, 1), (5, 1), (5, 5), (5, 5), (7, 5), (9, 8), (9, 9), (9, 9), (8, 8)])
+    kept = Counter((r.doc_id, r.text) for r in near_dup.deduplicated(docs).collect())
+    assert {k for k in kept if k[0] != 9} == {(1, a), (5, c), (8, d)} and sum(n for k, n in kept.items() if k[0] == 9) == 1
+
+
+def test_recall_of_links_over_planted_edits(spark):
+    """Recall of pairs of the definition (0.8), and of looser copies where a lower threshold with bands to match is asked for."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows, pairs = [], []
+    for k in range(150):
+        own = [word() for _ in range(rng.randint(60, 400))]
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(edited(own, rng, rng.choice([0.005, 0.02, 0.035, 0.05]))))]
+        x, y = (set(shingle_hashes(words_of(t)).tolist()) for _, t in rows[-2:])
+        pairs.append((2 * k, len(x & y) / len(x | y)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    for threshold, bands, wide in ((0.8, near_dup.BANDS, near_dup.ROWS), (0.6, 48, 3)):
+        got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs, threshold=threshold, bands=bands, rows=wide).collect()}
+        due = [i for i, s in pairs if s >= threshold]
+        assert len(due) > 40 and sum(got[i] == got[i + 1] for i in due) >= 0.99 * len(due)
+        assert not any(got[i] == got[i + 1] for i, s in pairs if s < threshold)
+    docs.unpersist()
+
+
+def test_hot_pivots_and_wide_blocks_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "RAYS", 7)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 2000)
+    rng = random.Random(17)
+    base = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
+    rows = list(enumerate([" ".join(base), *family(rng, 40, base, 0.01), *family(rng, 40, base, 0.03)]))
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 1 << 63, 300).astype(np.uint64)
@@ -325,3 +363,44 @@ def test_pipeline(spark, data):
     nothing = docs.where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, data).count() == 0
+
+
+def test_pipeline_by_brute_force(spark, data):
+    """What each stage keeps, by plain Python: copies by classes, contaminated texts by windows, epochs by mixing's own report, tokens by decoding."""
+    import corpus_pipeline
+    from corvane.llm import packing
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    bench = [w for (t,) in spark.read.parquet(f"{data}/benchmark.parquet").select("text").collect() if len(w := words_of(t)) >= 10]
+    leak = b" ".join(bench[0][:10]).decode()
+    some = docs.where("n_chars > 600").orderBy("doc_id").first()
+    planted = [(10**6, some.text, "en", "s", 0), (10**6 + 1, some.text + " and", "en", "s", 0), (10**6 + 2, "before it " + leak + " after it", "en", "s", 0), (10**6 + 3, "0101 -- 2222", "en", "s", 0)]
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language_id"](spark, docs.union(table_of(spark, planted)), data).cache()
+    assert {10**6 + 3}.isdisjoint(r.doc_id for r in kept.collect()) and kept.where("doc_id < 1000000").count() >= 0.98 * docs.count()
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    classes = brute_classes(rows)
+    single = stages["near_dedup"](spark, kept, data).cache()
+    assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, c in classes.items() if i == c)
+    windows = {(n, tuple(w[i : i + n])) for w in (words_of(t) for (t,) in spark.read.parquet(f"{data}/benchmark.parquet").select("text").collect()) if w for n in [min(10, len(w))] for i in range(len(w) - n + 1)}
+    sizes = {n for n, _ in windows}
+    hit = lambda w: any((n, tuple(w[i : i + n])) in windows for n in sizes for i in range(len(w) - n + 1))
+    clean = stages["decontamination"](spark, single, data).cache()
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(r.doc_id for r in single.collect() if not hit(words_of(r.text)))
+    assert 10**6 + 2 not in {r.doc_id for r in clean.collect()}
+    mixed = stages["mix"](spark, clean, data).cache()
+    sizes_of = {r.doc_id: r for r in mixing.report(clean).collect()}
+    n = Counter(r.doc_id for r in mixed.collect())
+    assert all(k * (size := sizes_of[i]["size"]) >= sizes_of[i].taken > (k - 1) * size for i, k in n.items() if sizes_of[i]["size"]) and all(sizes_of[i].taken == 0 for i in sizes_of if i not in n)
+    pieces = {}
+    for r in stages["pack"](spark, mixed, data).collect():
+        ids = np.frombuffer(r.ids, "<i4")
+        for d, part, a, b in zip(r.doc_ids, r.parts, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
+            pieces.setdefault(d, Counter())[part, tuple(ids[a:b].tolist())] += 1
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    for d, k in n.items():
+        assert set(pieces[d].values()) == {k}
+        ids = [x for _, p in sorted(pieces[d]) for x in p]
+        assert packing.encoding().decode(ids[:-1]) == texts[d] and ids[-1] == packing.SEPARATOR
+    for df in (kept, single, clean, mixed):
+        df.unpersist()

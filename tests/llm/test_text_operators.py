@@ -18,6 +18,26 @@ def docs(spark):
     return spark.createDataFrame([(i, t, "kept", "other") for i, t in TEXTS], "doc_id long, text string, n_tokens string, `host` string")
 
 
+CLASH = ["__hits", "__found", "__language", "__counts", "__kept", "__row", "__text", "__url", "__host", "__page", "__site", "__fold", "host"]
+
+
+def test_columns_of_any_name_are_kept(spark, data):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").limit(60)
+    odd = docs.withColumns({c: F.lit(c) for c in CLASH}).cache()
+    bench = spark.createDataFrame([(1, "no such words anywhere")], "item_id long, text string")
+    model = (["en"], np.ones((1, 512), np.float32))
+    net = secrets.Network()
+    for made in (token_counts.counted(odd), decontaminate.decontaminated(odd, bench), secrets.scanned(odd, net), language.predicted(odd, model), language.in_a_language(odd), near_dup.deduplicated(odd), mixing.curriculum(odd)):
+        row = made.select(*CLASH).first()
+        assert [row[c] for c in CLASH] == CLASH
+    pages = odd.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/c").alias("url"), F.col("text").alias("html"), *[c for c in CLASH if c != "host"])
+    assert url_filter.filtered(pages).select("__row", "__url", "__host").first() == ("__row", "__url", "__host")
+    assert html_text.extracted(pages).select("__page", "__site").first() == ("__page", "__site")
+    odd.unpersist()
+
+
 @pytest.fixture(scope="module")
 def empty(docs):
     return docs.where("doc_id = -1")
@@ -146,11 +166,32 @@ def test_decontamination_is_brute_force(spark):
         expected.append((i, n, hit, len(met), hashlib.sha256(",".join(met).encode()).hexdigest(), hit > 0))
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     assert got == sorted("Row(" + ", ".join(f"{k}={v!r}" for k, v in zip(names, e, strict=True)) + ")" for e in expected)
-    whole = decontaminate.hit(docs, bench).select("__hits").collect()
-    parts = decontaminate.hit(docs, bench, most_chars=60).select("__hits").collect()
+    whole = sorted(map(repr, decontaminate.hit(docs, bench).collect()))
+    parts = sorted(map(repr, decontaminate.hit(docs, bench, most_chars=60).collect()))
     assert whole == parts  # a benchmark over the bound is scanned for in parts
 
 
+def test_one_part_of_a_large_benchmark_is_broadcast_at_a_time(spark, monkeypatch):
+    bench = spark.createDataFrame([(k, f"word{k} and word{k + 1} in a row of its own {k} " * 3) for k in range(12)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "word3 and word4 in a row of its own 3 word3", "mine")], "doc_id long, text string, __hits string")
+    made, held = [], []
+    plain = type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        out = plain(self, value)
+        made.append(out)
+        held.append(sum(b._jbroadcast.isValid() for b in made if b._jbroadcast))
+        return out
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    found = decontaminate.hit(docs, bench, most_chars=200, out_col="found")
+    assert len(made) > 3 and max(held) == 1  # the one before is gone when the next is made
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().toString()
+    row = found.collect()[0]
+    assert row["__hits"] == "mine" and row.found["items"] == ["3"]
+    assert decontaminate.decontaminated(docs, bench).columns == docs.columns
+
+
 def test_decontamination_edges(spark, docs, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in decontaminate.report(docs, none).collect())
