@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corvane.sources.scratch import written
+
 
 def years_of(text: str, first: int = 2007, last: int = 2023) -> list[int]:
     """'2010' or '2010-2012' as years, which must lie in the supported range."""
@@ -25,8 +27,18 @@ def missing_months(rows: DataFrame, time: Column, years: list[int]) -> DataFrame
 
 
 def with_source_row(rows: DataFrame, file: str, order: list) -> DataFrame:
-    """The 1-based number of each row in its file."""
-    return rows.withColumn("source_row", F.row_number().over(Window.partitionBy(file).orderBy(*order)).cast("long"))
+    """The 1-based number of each row in its file.
+
+    Rows are range-sorted by file and order and written once; a row's number is its place in its part plus the sizes of the file's
+    parts before. So a large file is numbered by many tasks. Parts are a few for each task; their sizes alone are summed in one window.
+    """
+    place = F.monotonically_increasing_id() % (1 << 33)
+    parts = written(rows.orderBy(file, *order).select("*", F.spark_partition_id().alias("__part"), place.alias("__at")), "sorted")
+    sizes = parts.groupBy(F.col(file).alias("__file"), F.col("__part").alias("__of")).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__file").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("__file", "__of", (before - F.col("__first") + 1).alias("__start"))
+    joined = parts.join(starts, parts[file].eqNullSafe(starts["__file"]) & (parts["__part"] == starts["__of"]))
+    return joined.withColumn("source_row", F.col("__at") + F.col("__start")).drop("__part", "__at", "__file", "__of", "__start")
 
 
 def resumed(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import ratio
@@ -75,6 +78,65 @@ def unmatched(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("doc_id").join(b, "doc_id", "left_anti").withColumn("rater", F.lit(0)).union(b.select("doc_id").join(a, "doc_id", "left_anti").withColumn("rater", F.lit(1)))
 
 
+def pearson_p(r: float, n: int) -> float:
+    """The two-sided p-value of a correlation of n pairs: by the regularized incomplete beta function, as a continued fraction (Lentz)."""
+    if n < 3 or math.isnan(r):
+        return float("nan")
+    if abs(r) >= 1:
+        return 0.0
+    a, b, x = (n - 2) / 2, 0.5, 1 - r * r
+
+    def fraction(a: float, b: float, x: float) -> float:
+        c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1) or 1e-300)
+        out = d
+        for m in range(1, 500):
+            for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d, c = 1 / (1 + top * d or 1e-300), 1 + top / c or 1e-300
+                out *= c * d
+            if abs(c * d - 1) < 1e-15:
+                break
+        return out
+
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) if r else 0.0
+    return 1.0 if not r else front * fraction(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1 - front * fraction(b, a, 1 - x) / b
+
+
+def either(*ratings: DataFrame) -> DataFrame:
+    """(doc_id, label): 1 if any rater's (doc_id, rating) is not 0."""
+    rows = ratings[0].select("doc_id", "rating")
+    for r in ratings[1:]:
+        rows = rows.unionByName(r.select("doc_id", "rating"))
+    return rows.groupBy("doc_id").agg(F.max((F.col("rating") != 0).cast("int")).alias("label"))
+
+
+def distribution(rows: DataFrame, label: str) -> DataFrame:
+    """(label, n): how many rows each label has."""
+    return rows.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
+
+
+def summary(rows: DataFrame, label: str) -> DataFrame:
+    """(labels, least, most, mean) of a split's label distribution."""
+    return distribution(rows, label).agg(F.count("*").alias("labels"), F.min("n").alias("least"), F.max("n").alias("most"), F.avg("n").alias("mean"))
+
+
+#: What the classes of relevance are called in evaluation files.
+LABEL_TITLES = {0: "Irrelevant", 1: "Relevant"}
+
+
+def titled(label: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in LABEL_TITLES.items() for x in pair]), label.cast("int"))
+
+
+def write_evaluation(pairs: DataFrame, truth: str, predicted: str, rows_path: str, metrics_path: str, **run: object) -> tuple[float, float, float]:
+    """Writes each row's text, true_label and predicted_label as CSV, and appends a row of precision, recall, f1 and the run's parameters to a table."""
+    named = pairs.select("text", titled(F.col(truth)).alias("true_label"), titled(F.col(predicted)).alias("predicted_label"))
+    named.write.mode("overwrite").option("header", True).option("escape", '"').csv(rows_path)
+    scores = binary_prf(pairs, truth, predicted)
+    found = scores.first()
+    scores.sparkSession.createDataFrame([(*map(float, found), json.dumps(run, sort_keys=True, default=str))], "precision double, recall double, f1 double, run string").withColumn("at", F.current_timestamp()).write.mode("append").parquet(metrics_path)
+    return tuple(found)
+
+
 def class_weights(labels: DataFrame, label: str) -> DataFrame:
     """(label, n, weight): all rows / (classes times the class's rows)."""
     each = labels.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))

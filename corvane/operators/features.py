@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.text import feature_keys, is_author
+from corvane.sources.scratch import written
 
 
 def first_posts(posts: DataFrame, most: int, order: list) -> tuple[DataFrame, DataFrame]:
@@ -29,6 +30,12 @@ def merged_features(*tables: DataFrame) -> DataFrame:
     return out.groupBy("author", "feature").agg(F.sum("cnt").alias("cnt"))
 
 
+def unlabelled(features: DataFrame, homes: DataFrame) -> DataFrame:
+    """(authors, unlabelled): how many authors have features, and how many of them no location."""
+    own = features.select("author").distinct().join(homes.select("author", F.lit(1).alias("home")), "author", "left")
+    return own.agg(F.count("*").alias("authors"), F.count_if(F.col("home").isNull()).alias("unlabelled"))
+
+
 def location_features(features: DataFrame, homes: DataFrame) -> DataFrame:
     """(location, feature, cnt) of the users (author, location); users without a location are left out."""
     return features.join(homes, "author").groupBy("location", "feature").agg(F.sum("cnt").alias("cnt"))
@@ -54,10 +61,12 @@ def mutual_information(by_location: DataFrame, location_priors: DataFrame, least
     places = by_location.groupBy("location").agg(F.sum("cnt").alias("__tokens")).where("__tokens > 0").join(location_priors.select("location", "prior"), "location", "left")
     sums = places.agg(F.sum("__tokens").alias("__all"), F.coalesce(F.sum("prior"), F.lit(0.0)).alias("__mass"))
     places = places.crossJoin(F.broadcast(sums)).select("location", "__all", F.when(F.col("__mass") > 0, F.coalesce("prior", F.lit(0.0)) / F.col("__mass")).otherwise(F.col("__tokens") / F.col("__all")).alias("__p"))
-    totals = feature_totals(by_location).where(F.col("total") >= least)
+    places = written(places, "places")  # one row for each location: Spark broadcasts it if it is small by its own measure
+    # A feature's counts come together once, one for each location at most, with their total.
+    listed = by_location.where("cnt > 0").groupBy("feature").agg(F.sum("cnt").alias("total"), F.collect_list(F.struct("location", "cnt")).alias("__each")).where(F.col("total") >= least)
     p = F.col("cnt") / F.col("__all")
     term = p * F.ln(p / (F.col("__p") * (F.col("total") / F.col("__all"))))
-    return by_location.where("cnt > 0").join(totals, "feature").join(places, "location").groupBy("feature").agg(F.sum(term).alias("mi"))
+    return listed.select("feature", "total", F.inline("__each")).join(places, "location").groupBy("feature").agg(F.sum(term).alias("mi"))
 
 
 def vocabulary(totals: DataFrame, size: int, mi: DataFrame | None = None) -> DataFrame:

@@ -45,6 +45,59 @@ def lexicon_scorer(positive: tuple[str, ...], negative: tuple[str, ...]) -> Call
     return score
 
 
+#: Function words by language: configuration of the stand-in for a language model.
+FUNCTION_WORDS = {
+    "en": ("the", "of", "and", "to", "in", "is", "that", "for", "it", "was"),
+    "fr": ("le", "la", "les", "des", "et", "est", "que", "pour", "dans", "une"),
+    "de": ("der", "die", "das", "und", "ist", "nicht", "von", "mit", "den", "ein"),
+    "es": ("el", "los", "las", "en", "por", "con", "para", "una", "del", "como"),
+}
+
+
+def function_word_scorer(listed: dict[str, tuple[str, ...]]) -> Callable[[Column], Column]:
+    """The language whose function words are the most frequent (ties: the first of the lists), `und` without any: a stand-in for a language model."""
+
+    def score(text: Column) -> Column:
+        words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+        count = lambda own: F.size(F.filter(words, lambda w: w.isin(*own)))
+        counts = F.array(*map(count, listed.values()))
+        return let(counts, lambda c: F.when(F.array_max(c) == 0, F.lit("und")).otherwise(F.element_at(F.array(*map(F.lit, listed)), argmax(c) + 1)))
+
+    return score
+
+
+def share_scorer(listed: tuple[str, ...]) -> Callable[[Column], Column]:
+    """The part of a text's words that is listed, 0.0 without words."""
+
+    def score(text: Column) -> Column:
+        words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9']+"), F.lit(0))
+        return ratio(F.size(F.filter(words, lambda w: w.isin(*listed))).cast("double"), F.size(words))
+
+    return score
+
+
+def punctuation_tags(words: Column) -> Column:
+    """A stand-in for a clause segmenter: of each word 2 if it ends with a mark, 1 if it is the first or follows such a word, else 0."""
+    ends = lambda w: w.rlike("[.,;:!?]$")
+    return F.transform(words, lambda w, i: F.when(ends(w), 2).when((i == 0) | ends(F.get(words, i - 1)), 1).otherwise(0))
+
+
+def hashed_clause_label(clause: Column) -> Column:
+    """A stand-in for a clause classifier: ##QUESTION if the clause ends with a question mark, else a label by the clause's hash."""
+    names = F.array(*[F.lit(x[0]) for x in CLAUSE_LABELS])
+    pick = F.conv(F.substring(F.md5(clause), 1, 6), 16, 10).cast("int") % len(CLAUSE_LABELS) + 1
+    return F.when(clause.rlike("[?]$"), F.lit("##QUESTION")).otherwise(F.element_at(names, pick))
+
+
+POSITIVE = ("good", "great", "best", "love", "happy", "nice", "kind", "fine")
+NEGATIVE = ("bad", "worst", "hate", "sad", "awful", "ugly", "cruel", "poor")
+
+register_scorer("language", function_word_scorer(FUNCTION_WORDS))
+register_scorer("sentiment", lexicon_scorer(POSITIVE, NEGATIVE))
+register_scorer("polarity", lexicon_scorer(POSITIVE, NEGATIVE))
+register_scorer("subjectivity", share_scorer(POSITIVE + NEGATIVE))
+register_scorer("clause_tags", punctuation_tags)
+register_scorer("clause_label", hashed_clause_label)
 register_scorer("relevance", hashed_scorer("relevance", 2))
 register_scorer("moralization", hashed_scorer("moralization", 2))
 register_scorer("emotion_1", hashed_scorer("emotion1", 7))
@@ -109,6 +162,11 @@ def sentiment(posts: DataFrame, text: Column, polarity: Callable[[Column], Colum
     return out.withColumns({"sentiment_pos": count(lambda x: x > margin), "sentiment_neu": count(lambda x: (x <= margin) & (x >= -margin)), "sentiment_neg": count(lambda x: x < -margin), "sentiment_compound": mean}).drop("__each")
 
 
+def document_sentiment(posts: DataFrame, text: Column) -> DataFrame:
+    """The polarity and subjectivity of the whole text, by the scorers of these names."""
+    return posts.withColumns({"sentiment_polarity": scorer("polarity")(text), "sentiment_subjectivity": scorer("subjectivity")(text)})
+
+
 def clause_attributes(label: Column) -> Column:
     """The struct (genericity, eventivity, boundedness) of a clause label, null if it is none."""
     listed = F.create_map(*[x for name, g, e, b in CLAUSE_LABELS for x in (F.lit(name), F.struct(F.lit(g).alias("genericity"), F.lit(e).alias("eventivity"), F.lit(b).alias("boundedness")))])
@@ -144,6 +202,39 @@ def clauses(words: Column, tags: Column) -> Column:
     return F.aggregate(F.arrays_zip(words.alias("words"), tags.alias("tags")), state, step, finish)
 
 
+def word_tags(word_of_piece: Column, tag_of_piece: Column) -> Column:
+    """The tag of each word of a tokenized snippet: that of its first piece. word_of_piece: the word's number, null for special pieces."""
+    zipped = F.arrays_zip(word_of_piece.alias("word"), tag_of_piece.alias("tag"))
+    first = F.filter(zipped, lambda x, i: x["word"].isNotNull() & (F.array_position(word_of_piece, x["word"]) == i + 1))
+    return F.transform(first, lambda x: x["tag"])
+
+
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
+def generalized(posts: DataFrame, text: Column) -> DataFrame:
+    """clauses, generalization_clause_labels (arrays, in text order) and the sixteen counts and proportions: sentences are packed into
+    snippets, a scorer tags a snippet's words, tagged words make clauses, and a scorer labels each. A row's snippets and clauses stay
+    in its own arrays, so that nothing has to be joined back."""
+    tags = scorer("clause_tags")
+    of_snippet = lambda s: let(words_of(s), lambda w: clauses(w, tags(w)))
+    out = posts.withColumn("clauses", F.flatten(F.transform(snippets(sentences(text)), of_snippet)))
+    out = out.withColumn("generalization_clause_labels", F.transform("clauses", scorer("clause_label")))
+    return clause_features(out, F.col("generalization_clause_labels"))
+
+
+def clause_rows(posts: DataFrame, key: str) -> DataFrame:
+    """(key, pos, clause): a row for each clause, for scorers that need rows."""
+    return posts.select(key, F.posexplode("clauses").alias("pos", "clause"))
+
+
+def regrouped(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value): the values of a key's rows (key, pos, value) as an array in order of pos. A post's clauses are few."""
+    each = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", value))).alias("each"))
+    return each.select(key, F.transform("each", lambda x: x[value]).alias(value))
+
+
 def snippets(parts: Column, most: int = 200) -> Column:
     """Sentences packed into snippets of at most `most` words between white space. A snippet begins with a space, unless a sentence
     that did not fit began it; a first sentence that is too long leaves an empty snippet before it; the last snippet is always given."""

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import lgamma_rise
+from corvane.functions.text import clean_author, hour_of, is_author
+from corvane.operators import features
+from corvane.sources.scratch import written
 
 UNKNOWN = "__UNKNOWN__"
 LEAST_SEEN, LEAST_MARGIN = 10, 1.5
@@ -51,25 +54,35 @@ def location_params(by_location: DataFrame, vocab: DataFrame, locations: DataFra
 def scores(features: DataFrame, authors: DataFrame, params: DataFrame, overrides: DataFrame, vocab: DataFrame, location_priors: DataFrame, smoothing: Smoothing, observed_only: bool = False) -> DataFrame:
     """(author, location, score): ln prior + ln likelihood of every author's counts at every location.
 
-    The likelihood is the Dirichlet-multinomial's: a base sum by author, which needs no location, plus corrections where a location has
-    counts of the author's features: an equi-join on the feature. Only the authors' totals meet all locations. An author without known
-    features gets the priors. `observed_only` gives the score of training: without the terms ln gamma(alpha) of the features that the
-    author doesn't have.
+    The likelihood is the Dirichlet-multinomial's: a base sum by author, plus a change where a location has counts of the author's
+    features. Each feature of the vocabulary brings the list of its locations, so that a feature's row joins an author's once, without
+    a join of the two by a feature that all share; sums are taken before anything is shuffled, and what then meets is a number for each
+    author and location. An author without known features gets the priors. `observed_only` gives the score of training: without the
+    terms ln gamma(alpha) of the features that the author doesn't have.
     """
-    known = features.where("cnt > 0").join(vocab.select("feature"), "feature", "left_semi")
-    alpha = smoothing.of(F.col("feature"))
+    listed = overrides.groupBy("feature").agg(F.collect_list(F.struct("location", F.col("cnt").alias("c"))).alias("places"))
+    # A row for each feature of the vocabulary; Spark broadcasts the table if it is small by its own measure.
+    by_feature = written(vocab.select("feature").join(listed, "feature", "left"), "by_feature")
+    base = F.array(F.struct(F.lit(None).cast("string").alias("location"), F.lit(0).cast("long").alias("c")))
+    known = features.where("cnt > 0").join(by_feature, "feature").select("author", "feature", "cnt", F.inline(F.concat(base, F.coalesce("places", F.array().cast("array<struct<location:string,c:bigint>>")))))
+    alpha, c, n = smoothing.of(F.col("feature")), F.col("c"), F.col("cnt")
     own = smoothing.lgamma(F.col("feature")) if observed_only else F.lit(0.0)
-    based = known.groupBy("author").agg(F.sum("cnt").alias("__n"), F.sum(lgamma_rise(alpha, F.col("cnt")) + own).alias("__base"))
-    every = authors.select("author").distinct().join(based, "author", "left").select("author", F.coalesce("__n", F.lit(0)).alias("__n"), F.coalesce("__base", F.lit(0.0)).alias("__base"))
+    known = known.withColumns({"of_base": lgamma_rise(alpha, n), "of_place": lgamma_rise(alpha + c, n)})
     # lgamma(alpha + c + n) - lgamma(alpha + c) in place of the base term.
-    change = lgamma_rise(alpha + F.col("__c"), F.col("cnt")) - lgamma_rise(alpha, F.col("cnt")) + (lgamma_rise(alpha, F.col("__c")) if observed_only else F.lit(0.0))
-    corrections = known.join(overrides.select("location", "feature", F.col("cnt").alias("__c")), "feature").groupBy("author", "location").agg(F.sum(change).alias("__change"))
-    places = params.join(location_priors.select("location", "prior"), "location", "left").select("location", "alpha_sum", "lgamma_sum", F.ln(F.coalesce("prior", F.lit(1e-30))).alias("__prior"))
-    pairs = every.crossJoin(places).join(corrections, ["author", "location"], "left")
-    likelihood = F.col("__base") + F.coalesce("__change", F.lit(0.0)) - lgamma_rise(F.col("alpha_sum"), F.col("__n"))
+    of_all = F.col("location").isNull()
+    change = F.col("of_place") - F.col("of_base") + (lgamma_rise(alpha, c) if observed_only else F.lit(0.0))
+    parts = known.select("author", "location", F.when(of_all, F.col("of_base") + own).otherwise(change).alias("x"), F.when(of_all, n).otherwise(0).cast("long").alias("n"))
+    places = params.join(location_priors.select("location", "prior"), "location", "left").select("location", "alpha_sum", "lgamma_sum", F.ln(F.coalesce("prior", F.lit(1e-30))).alias("prior"))
+    places = written(places, "places")
+    zero = authors.select("author").distinct().crossJoin(F.broadcast(places.select("location"))).select("author", "location", F.lit(0.0).alias("x"), F.lit(0).cast("long").alias("n"))
+    wanted = parts.join(authors.select("author").distinct(), "author", "left_semi")
+    summed = wanted.unionByName(zero).groupBy("author", "location").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+    whole = lambda x: F.sum(F.when(of_all, F.col(x)).otherwise(0)).over(Window.partitionBy("author"))
+    pairs = summed.withColumns({"base": whole("x"), "tokens": whole("n")}).where("location IS NOT NULL").join(places, "location")
+    likelihood = F.col("base") + F.col("x") - lgamma_rise(F.col("alpha_sum"), F.col("tokens"))
     if observed_only:
-        likelihood = F.when(F.col("__n") > 0, likelihood - F.col("lgamma_sum")).otherwise(0.0)
-    return pairs.select("author", "location", (F.col("__prior") + likelihood).alias("score"))
+        likelihood = F.when(F.col("tokens") > 0, likelihood - F.col("lgamma_sum")).otherwise(0.0)
+    return pairs.select("author", "location", (F.col("prior") + likelihood).alias("score"))
 
 
 def top_locations(scored: DataFrame, k: int) -> DataFrame:
@@ -99,10 +112,37 @@ def with_locations(posts: DataFrame, found: DataFrame) -> DataFrame:
     return posts.join(found.select("author", "location"), "author", "left").withColumn("location", F.coalesce("location", F.lit(UNKNOWN)))
 
 
+def located(posts: DataFrame, model: dict[str, DataFrame], smoothing: Smoothing = Smoothing(), cache: DataFrame | None = None, most_posts: int = 25, months: list[tuple[int, int]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """posts (id, author, text, subreddit, time, ...) with a location, and the fresh cache rows (author, location) sure enough to be kept.
+
+    Authors in the cache (author, location) have theirs; the others the likeliest by the features of their first posts, in
+    the order of time or, with `months`, of the places of their months in that list, without other months; deleted and empty authors the unknown one.
+    """
+    posts = posts.withColumn("author", clean_author(F.col("author")))
+    cache = cache.select("author", "location") if cache is not None else posts.sparkSession.createDataFrame([], "author string, location string")
+    left = written(remaining_authors(posts.where(is_author(F.col("author"))), cache), "authors")
+    scanned, order = posts.join(left, "author", "left_semi"), ["time", "id"]
+    if months is not None:
+        at = F.to_timestamp("time")
+        scanned = scanned.withColumn("rank", F.array_position(F.array(*[F.lit(12 * y + m) for y, m in months]), (12 * F.year(at) + F.month(at)).cast("int"))).where("rank > 0")
+        order = ["rank", *order]
+    first, seen = features.first_posts(scanned, most_posts, order)
+    own = written(features.author_features(first.withColumn("hour", hour_of(F.col("time").cast("string")))), "features")
+    scored = written(scores(own, left, model["params"], model["overrides"], model["vocab"], model["priors"], smoothing), "scores")
+    found = written(decisions(scored, seen), "decisions")
+    wanted = cache.join(posts.select("author").distinct(), "author", "left_semi").unionByName(found.select("author", "location"))
+    return with_locations(posts, wanted), found.where("cached").select("author", "location")
+
+
 def remaining_authors(posts: DataFrame, cache: DataFrame) -> DataFrame:
     return posts.select("author").distinct().join(cache, "author", "left_anti")
 
 
+def likeliest(location_priors: DataFrame, most: int | None = None) -> DataFrame:
+    """The `most` locations of the highest prior (ties: by name); all, if `most` is None or 0."""
+    return location_priors.orderBy(F.desc("prior"), "location").limit(most) if most else location_priors
+
+
 def month_spiral(year: int, month: int, radius: int = 30, most: int = 60) -> list[tuple[int, int]]:
     """Months by distance from the given one, the earlier first: offsets 0, -1, 1, -2, 2, ...; `most` of them."""
     offsets = sorted(range(-radius, radius + 1), key=lambda d: (abs(d), d))[:most]

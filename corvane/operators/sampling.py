@@ -44,6 +44,18 @@ def for_annotators(sample: DataFrame, annotators: list[str], id_col: str, seed:
     return each.withColumn("position", F.row_number().over(Window.partitionBy("annotator").orderBy(*order)))
 
 
+def write_annotators(sample: DataFrame, path: str, annotators: int = 2, file_col: str = "file", keywords_col: str = "keywords") -> None:
+    """For each annotator a CSV of the shuffled rows (random_id, text) and one of their keys (random_id, file, original_id, keywords,
+    sample_type). sample: (sample_id, text, id, sample_type, file and keywords); it is a bounded table, so each file is one task's."""
+    named = for_annotators(sample, [f"annot{k}" for k in range(annotators)], "sample_id")
+    keywords = F.col(keywords_col) if dict(sample.dtypes)[keywords_col] == "string" else F.array_join(keywords_col, ",")
+    for k in range(annotators):
+        own = named.where(F.col("annotator") == f"annot{k}").orderBy("position")
+        key = own.select(F.col("sample_id").alias("random_id"), F.col(file_col).alias("file"), F.col("id").alias("original_id"), keywords.alias("keywords"), "sample_type")
+        for rows, name in ((own.select(F.col("sample_id").alias("random_id"), "text"), f"annot{k}"), (key, f"annot{k}_key")):
+            rows.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/{name}")
+
+
 def exact_split(rows: DataFrame, id_col: str, parts: tuple[tuple[str, float], ...] = (("train", 0.8), ("valid", 0.1)), rest: str = "test", seed: str = "split:") -> DataFrame:
     """Splits of exact sizes floor(p n), in hash order; the rest goes to the last.
 

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from corvane.functions import scores as S
 from corvane.functions import text as T
-from corvane.operators import audit, evaluation, features, keywords, labels, location, sampling
+from corvane.operators import audit, evaluation, features, keywords, labels, location, sampling, training
+from corvane.plans.pipeline import Plan
 from corvane.sources.posts import posts as posts_of
 from corvane.sources.scratch import scratch_folder, written
-from corvane.sources.tables import hour_counts, json_counts
+from corvane.sources.tables import hour_counts, json_counts, read_vocabulary
 from corvane.streaming.stages import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,8 @@ ORACLE: dict[str, str] = {}
 
 #: A small list for demonstration; production lists are read by sources.tables.load_sides.
 SIDES = [("old", ["old", "elder", "senior", "aged ", "retire", "this"]), ("young", ["young", "teen", "kid", "child", "this"])]
-PATTERNS = ["(^|[^a-z])old([^a-z]|$)", "young[a-z]*er", "(the|a) (elder|senior)s?", "teen(age)?r"]
+PATTERNS = ["(^|[^a-z])old([^a-z]|$)", "young[a-z]*er", "(the|a) (elder|senior)s?", "teen(age)?r", "the (old|this)[a-z]*", "(^|[^a-z])this that([^a-z]|$)"]
+PATTERN_SQL = "(?i)" + "|".join(PATTERNS)
 SMOOTHING = location.Smoothing(0.1, 0.5, 2.0)
 VOCABULARY = 50_000
 LEAST = 3
@@ -109,21 +111,33 @@ def language_filter(spark, d):
     return table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").alias("id"), F.col("source").alias("subreddit"))
 
 
+WORD_COUNTS = ", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in own)})))" for own in labels.FUNCTION_WORDS.values())
+GUESSED = f"guessed AS (SELECT id, text, subreddit, CASE WHEN list_max(c) = 0 THEN 'und' ELSE ['{"', '".join(labels.FUNCTION_WORDS)}'][list_position(c, list_max(c))] END AS guess FROM (SELECT *, [{WORD_COUNTS}] AS c FROM (SELECT id, text, subreddit, regexp_extract_all(lower(text), '[a-z]+') AS w FROM posts)))"
+
+
+@query(f"WITH {POSTS}, {GUESSED} SELECT id, subreddit, guess AS lang, md5(replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ')) AS digest FROM guessed WHERE guess = 'en'")
+def language_stage(spark, d):
+    """The stage itself, on posts without a column of languages: the registered scorer names them."""
+    rows = Plan("age", SIDES, PATTERNS).filter_language(posts_of(spark, d).drop("lang"))
+    return rows.select("id", "subreddit", "lang", F.md5("text").alias("digest"))
+
+
 @query("SELECT source, lang, count(*) AS total, count(*) FILTER (lang = 'en') AS passed, count(*) FILTER (text IS NULL) AS missing FROM documents GROUP BY source, lang")
 def stage_counters(spark, d):
     return audit.stage_counts(table(spark, d, "documents"), F.col("lang") == "en", ["source", "lang"])
 
 
-@query("SELECT doc_id AS id, regexp_matches(lower(text), '(?i)(^|[^a-z])old([^a-z]|$)|young[a-z]*er|(the|a) (elder|senior)s?|teen(age)?r') AS hit FROM documents WHERE regexp_matches(lower(text), '(?i)(^|[^a-z])old([^a-z]|$)|young[a-z]*er|(the|a) (elder|senior)s?|teen(age)?r')")
+@query(f"SELECT doc_id AS id, TRUE AS hit FROM documents WHERE regexp_matches(lower(text), '{PATTERN_SQL}')")
 def regex_filter(spark, d):
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lower("text").alias("text"))
     return keywords.regex_filter(rows, PATTERNS).select("id", F.lit(True).alias("hit"))
 
 
-@query()
+#: Without lookarounds: some "this" isn't followed by " the", or some "was" doesn't follow "of ".
+@query(r"SELECT doc_id AS id FROM (SELECT doc_id, lower(text) AS t FROM documents WHERE lang = 'en') WHERE len(regexp_extract_all(t, '\bthis\b')) > len(regexp_extract_all(t, '\bthis\b the')) OR len(regexp_extract_all(t, '\bwas')) > len(regexp_extract_all(t, 'of \bwas'))")
 def regex_filter_lookaround(spark, d):
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lower("text").alias("text"))
-    return keywords.regex_filter(rows, [r"\bold\b(?! school)", r"(?<!very )\byoung"]).select("id")
+    rows = table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").alias("id"), F.lower("text").alias("text"))
+    return keywords.regex_filter(rows, [r"\bthis\b(?! the)", r"(?<!of )\bwas"]).select("id")
 
 
 #: Logits of a stand-in model by the number of the document.
@@ -302,13 +316,24 @@ def vocab_mi_backfill(spark, d):
     return features.vocabulary(features.feature_totals(by_location), VOCABULARY, mi).withColumn("rank", F.col("rank").cast("long"))
 
 
+#: The location models of this application by table folder: the queries that score authors share one.
+MODELS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def model_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    key = (spark.sparkContext.applicationId, d)
+    if key not in MODELS:
+        MODELS[key] = trained_model(spark, d)
+    return MODELS[key]
+
+
+def trained_model(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     own = written(features_of(spark, d), "features")
     homes = written(homes_of(posts_of(spark, d)), "homes")
     by_location = written(features.location_features(own, homes), "by_location")
     vocab = written(features.vocabulary(features.feature_totals(by_location), VOCABULARY).select("feature"), "vocab")
     known = features.priors(homes, 0.5)
-    params, overrides = location.location_params(by_location, vocab, known, SMOOTHING)
+    params, overrides = (written(x, "model") for x in location.location_params(by_location, vocab, known, SMOOTHING))
     return {"features": own, "homes": homes, "vocab": vocab, "priors": known, "params": params, "overrides": overrides, "truth": homes.withColumnRenamed("location", "label")}
 
 
@@ -318,7 +343,7 @@ def scores_of(m: dict[str, DataFrame], observed_only: bool = False) -> DataFrame
 
 @query(f"WITH {MODEL} SELECT location, round(alpha_sum, 4) AS alpha_sum, round(const, 2) AS const FROM params")
 def location_params(spark, d):
-    return model_of(spark, d)["params"].select("location", F.round("alpha_sum", 4).alias("alpha_sum"), F.round("const", 2).alias("const"))
+    return trained_model(spark, d)["params"].select("location", F.round("alpha_sum", 4).alias("alpha_sum"), F.round("const", 2).alias("const"))
 
 
 @query(f"WITH {MODEL} SELECT author, location, round(score, 2) AS score FROM scores")
@@ -448,8 +473,7 @@ def unmatched_ratings(spark, d):
 
 @query("SELECT doc_id, greatest(quality, toxic) AS label FROM labels")
 def either_rater(spark, d):
-    a, b = raters(spark, d)
-    return a.unionByName(b).groupBy("doc_id").agg(F.max((F.col("rating") != 0).cast("int")).alias("label"))
+    return evaluation.either(*raters(spark, d))
 
 
 @query("SELECT quality AS label, count(*) AS n, round(any_value(t) / (any_value(k) * count(*))::DOUBLE, 9) AS weight FROM labels, (SELECT count(*) AS t, count(DISTINCT quality) AS k FROM labels) GROUP BY quality")
@@ -465,8 +489,26 @@ def binary_f1(spark, d):
 
 @query("SELECT label, count(*) AS n FROM embeddings GROUP BY label")
 def label_distribution(spark, d):
-    return table(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"))
+    return evaluation.distribution(table(spark, d, "embeddings"), "label")
+
+
+@query("SELECT count(*) AS labels, min(n) AS least, max(n) AS most, round(avg(n), 6) AS mean FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)")
+def label_summary(spark, d):
+    return evaluation.summary(table(spark, d, "embeddings"), "label").withColumn("mean", F.round("mean", 6))
+
 
+@query("SELECT doc_id, CASE quality WHEN 1 THEN 'Relevant' ELSE 'Irrelevant' END AS title FROM labels")
+def label_titles(spark, d):
+    return table(spark, d, "labels").select("doc_id", evaluation.titled(F.col("quality")).alias("title"))
+
+
+@query("WITH p AS (SELECT quality AS label, CASE WHEN doc_id % 2 = 0 THEN 0.25 ELSE 0.75 END AS one FROM labels), w AS (SELECT quality AS label, any_value(t) / (2.0 * count(*)) AS weight FROM labels, (SELECT count(*) AS t FROM labels) GROUP BY quality) SELECT round(sum(-ln(CASE WHEN label = 1 THEN one ELSE 1 - one END) * weight) / sum(weight), 6) AS loss, round(sum(-ln(CASE WHEN label = 1 THEN one ELSE 1 - one END) * weight) / sum(weight) + 0.5 * count(*) FILTER (label = 1 AND one < 0.5), 6) AS penalized FROM p JOIN w USING (label)")
+def confusion_penalty(spark, d):
+    rows = table(spark, d, "labels")
+    one = F.when(F.col("doc_id") % 2 == 0, 0.25).otherwise(0.75)
+    scored = rows.select(F.col("quality").alias("label"), F.array(1 - one, one).alias("p"))
+    out = training.training_loss(scored, evaluation.class_weights(rows, "quality"), "1_to_0", 0.5)
+    return out.select(F.round("loss", 6).alias("loss"), F.round("penalized", 6).alias("penalized"))
 
 @query("SELECT location, name FROM (SELECT source AS location, lang AS name, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS k FROM documents GROUP BY source, lang) WHERE k = 1")
 def display_names(spark, d):
@@ -484,7 +526,31 @@ def best_config(spark, d):
 
 @query(f"WITH {FEATURES}, {PRIORS} SELECT location, n FROM priors ORDER BY n DESC, location LIMIT 3")
 def truncated_locations(spark, d):
-    return features.priors(homes_of(posts_of(spark, d)), 0.5).orderBy(F.desc("n"), "location").limit(3).select("location", "n")
+    return location.likeliest(features.priors(homes_of(posts_of(spark, d)), 0.5), 3).select("location", "n")
+
+
+@query(f"WITH {FEATURES} SELECT count(*) AS authors, count(*) FILTER (author NOT IN (SELECT author FROM homes WHERE location <> 'g0')) AS unlabelled FROM (SELECT DISTINCT author FROM author_features)")
+def unlabelled_authors(spark, d):
+    return features.unlabelled(features_of(spark, d), homes_of(posts_of(spark, d)).where("location <> 'g0'"))
+
+
+@query("SELECT 'u' || user_id AS author, 'w:' || event_type AS feature, CAST(count(*) AS BIGINT) AS cnt FROM events WHERE user_id % 3 = 0 GROUP BY ALL")
+def vocabulary_of_users(spark, d):
+    """Word counts written as JSON lines and read back for some users only."""
+    each = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    lines = each.groupBy(F.concat(F.lit("u"), "user_id").alias("author")).agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("vocab"))
+    path = f"{scratch_folder(spark, 'vocab')}.jsonl"
+    lines.write.json(path)
+    users = table(spark, d, "events").where("user_id % 3 = 0").select(F.concat(F.lit("u"), "user_id").alias("author"))
+    return read_vocabulary(spark, path, users)
+
+
+@query(f"WITH {MODEL}, c AS (SELECT DISTINCT author, 'old' AS location FROM posts WHERE lang = 'fr'), f AS (SELECT author, location FROM ranked WHERE rank = 1) SELECT id, coalesce(c.location, f.location) AS location FROM posts LEFT JOIN c USING (author) LEFT JOIN f USING (author)")
+def location_stage(spark, d):
+    """The stage itself: cached authors keep their location, the others are scored by all of their posts."""
+    m = model_of(spark, d)
+    found, _ = location.located(posts_of(spark, d), m, SMOOTHING, cache_of(spark, d), most_posts=1_000_000)
+    return found.select("id", "location")
 
 
 # Sampling
@@ -580,9 +646,10 @@ def set_union(spark, d):
     return docs.where("lang = 'en'").select(F.col("source").alias("name")).union(docs.where("lang = 'fr'").select("source")).distinct()
 
 
-@query("SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def set_difference(spark, d):
-    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).distinct().join(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k", "left_anti")
+    late = table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).distinct().join(late, "k", "left_anti")
 
 
 # Labelers. A document's sentences are its clauses; a sentence's length picks its label.
@@ -619,32 +686,114 @@ def clause_lookup(spark, d):
     return rows.join(F.broadcast(names), "label").groupBy("doc_id", "label", "genericity", "eventivity", "boundedness").agg(F.count("*").alias("n"))
 
 
-@query()
+#: One step of a recursion takes one word of each row; state, open clause and done clauses as in operators.labels.clauses.
+STEPS = """WITH RECURSIVE source AS (SELECT conv_id, turn, regexp_split_to_array(text, '\\s+') AS w FROM conversations),
+steps AS (
+  SELECT conv_id, turn, w, 0 AS i, 2 AS before, []::VARCHAR[] AS open, []::VARCHAR[] AS done, TRUE AS on_ FROM source
+  UNION ALL
+  SELECT conv_id, turn, w, i + 1, tag,
+         CASE WHEN closes THEN []::VARCHAR[] ELSE taken END,
+         CASE WHEN closes THEN list_append(done, array_to_string(taken, ' ')) ELSE done END,
+         (on_ OR before = 2) AND NOT closes
+  FROM (SELECT *, CASE WHEN before = 2 THEN [word] WHEN on_ THEN list_append(open, word) ELSE open END AS taken, tag = 2 AND before IN (0, 1) AS closes
+        FROM (SELECT *, w[i + 1] AS word, length(w[i + 1]) % 3 AS tag FROM steps WHERE i < len(w)))
+)"""
+
+
+@query(STEPS + " SELECT conv_id, turn, CASE WHEN on_ AND len(open) > 0 THEN list_append(done, array_to_string(open, ' ')) ELSE done END AS clauses FROM steps WHERE i = len(w)")
 def clause_reconstruct(spark, d):
     words = F.split("text", r"\s+")
     rows = table(spark, d, "conversations").select("conv_id", "turn", words.alias("w"), F.transform(words, lambda w: F.length(w) % 3).alias("t"))
     return rows.select("conv_id", "turn", labels.clauses(F.col("w"), F.col("t")).alias("clauses"))
 
 
-@query()
+#: A document's sentences: parts that end with a mark and white space, or with line feeds; edge spaces and empty parts go.
+SENTENCES = "sentences AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g'), '\\n+', chr(10), 'g'), chr(10)), lambda s: trim(s)), lambda s: s <> '') AS s FROM documents)"
+
+
+@query(f"""WITH RECURSIVE {SENTENCES},
+steps AS (
+  SELECT doc_id, s, 0 AS i, '' AS now, 0 AS n, []::VARCHAR[] AS done FROM sentences
+  UNION ALL
+  SELECT doc_id, s, i + 1, CASE WHEN over_ THEN x ELSE now || ' ' || x END, CASE WHEN over_ THEN k ELSE n + k END, CASE WHEN over_ THEN list_append(done, now) ELSE done END
+  FROM (SELECT *, n + k > 200 AS over_ FROM (SELECT *, s[i + 1] AS x, len(list_filter(regexp_split_to_array(s[i + 1], '\\s+'), lambda w: w <> '')) AS k FROM steps WHERE i < len(s)))
+) SELECT doc_id, list_append(done, now) AS snippets FROM steps WHERE i = len(s)""")
 def sentence_packing(spark, d):
     return table(spark, d, "documents").select("doc_id", labels.snippets(labels.sentences(F.col("text"))).alias("snippets"))
 
 
-POLARITY = labels.lexicon_scorer(("the", "good", "of"), ("and", "bad", "to"))
+@query("SELECT conv_id, turn, list_transform(range(1, len(w) + 1), lambda k: (length(w[k]) + k) % 3) AS tags FROM (SELECT conv_id, turn, regexp_split_to_array(text, '\\s+') AS w FROM conversations)")
+def first_piece_tags(spark, d):
+    """Each word comes as two pieces between special ones; a word's tag is its first piece's."""
+    words = F.split("text", r"\s+")
+    special = F.array(F.lit(None).cast("int"))
+    pieces = F.concat(special, F.flatten(F.transform(words, lambda w, k: F.array(k, k))), special)
+    tags = F.concat(F.array(F.lit(9)), F.flatten(F.transform(words, lambda w, k: F.array((F.length(w) + k + 1) % 3, F.lit(7)))), F.array(F.lit(9)))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", pieces.alias("p"), tags.alias("t"))
+    return rows.select("conv_id", "turn", labels.word_tags(F.col("p"), F.col("t")).cast("array<bigint>").alias("tags"))
 
 
-@query("WITH s AS (SELECT doc_id, unnest(list_filter(string_split(text, chr(10)), lambda s: s <> '')) AS s FROM documents), c AS (SELECT doc_id, len(list_filter(regexp_extract_all(lower(s), '[a-z0-9'']+'), lambda w: w IN ('the', 'good', 'of'))) AS up, len(list_filter(regexp_extract_all(lower(s), '[a-z0-9'']+'), lambda w: w IN ('and', 'bad', 'to'))) AS down FROM s), p AS (SELECT doc_id, CASE WHEN up + down = 0 THEN 0.0 ELSE (up - down) / (up + down)::DOUBLE END AS x FROM c) SELECT doc_id, count(*) FILTER (x > 0.05) AS sentiment_pos, count(*) FILTER (x BETWEEN -0.05 AND 0.05) AS sentiment_neu, count(*) FILTER (x < -0.05) AS sentiment_neg, round(avg(x), 6) AS sentiment_compound FROM p GROUP BY doc_id")
-def sentence_sentiment(spark, d):
-    lines = table(spark, d, "documents").select("doc_id", F.explode(F.filter(F.split("text", "\n"), lambda s: s != "")).alias("s")).withColumn("x", POLARITY(F.col("s")))
-    test = lambda c, name: F.count_if(c).alias(name)
-    x = F.col("x")
-    return lines.groupBy("doc_id").agg(test(x > 0.05, "sentiment_pos"), test((x <= 0.05) & (x >= -0.05), "sentiment_neu"), test(x < -0.05, "sentiment_neg"), F.round(F.avg("x"), 6).alias("sentiment_compound"))
+@query(f"WITH {SENTENCES} SELECT doc_id, array_to_string(list_transform(s, lambda x: CAST(length(x) AS VARCHAR)), ' ') AS lengths FROM sentences WHERE len(s) > 0")
+def regrouped_clauses(spark, d):
+    """Sentences dealt out as rows, measured there, and brought back in order."""
+    rows = labels.clause_rows(table(spark, d, "documents").select("doc_id", labels.sentences(F.col("text")).alias("clauses")), "doc_id")
+    measured = rows.select("doc_id", "pos", F.length("clause").cast("string").alias("length"))
+    return labels.regrouped(measured, "doc_id", "length").select("doc_id", F.array_join("length", " ").alias("lengths"))
+
+
+HASHED = ", ".join(f"'{x[0]}'" for x in labels.CLAUSE_LABELS)
+
+
+@query(f"SELECT doc_id, CASE WHEN regexp_matches(text, '[?]$') THEN '##QUESTION' ELSE [{HASHED}][('0x' || substr(md5(text), 1, 6))::BIGINT % 18 + 1] END AS label FROM documents")
+def clause_classifier(spark, d):
+    return table(spark, d, "documents").select("doc_id", labels.scorer("clause_label")(F.col("text")).alias("label"))
 
 
 @query()
+def generalization_stage(spark, d):
+    """Snippets, tagged words, clauses, labels and counts of every document; tests/test_engine.py has the same in plain Python."""
+    return labels.generalized(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
+
+
+UP, DOWN = ("the", "good", "of"), ("and", "bad", "to")
+POLARITY = labels.lexicon_scorer(UP, DOWN)
+COUNT_OF = lambda listed, x: f"len(list_filter(regexp_extract_all(lower({x}), '[a-z0-9'']+'), lambda w: w IN ({', '.join(map(repr, listed))})))"
+
+
+@query(f"WITH {SENTENCES}, each AS (SELECT doc_id, list_transform(s, lambda x: CASE WHEN {COUNT_OF(UP + DOWN, 'x')} = 0 THEN 0.0::DOUBLE ELSE ({COUNT_OF(UP, 'x')} - {COUNT_OF(DOWN, 'x')}) / {COUNT_OF(UP + DOWN, 'x')}::DOUBLE END) AS x FROM sentences) SELECT doc_id, len(list_filter(x, lambda v: v > 0.05)) AS sentiment_pos, len(list_filter(x, lambda v: v BETWEEN -0.05 AND 0.05)) AS sentiment_neu, len(list_filter(x, lambda v: v < -0.05)) AS sentiment_neg, CASE WHEN len(x) = 0 THEN 0.0 ELSE round(list_sum(x) / len(x), 6) END AS sentiment_compound FROM each")
+def sentence_sentiment(spark, d):
+    rows = labels.sentiment(table(spark, d, "documents").select("doc_id", "text"), F.col("text"), POLARITY)
+    return rows.drop("text").withColumn("sentiment_compound", F.round("sentiment_compound", 6))
+
+
+@query(f"SELECT doc_id, CASE WHEN up + down = 0 THEN 0.0 ELSE round((up - down) / (up + down)::DOUBLE, 6) END AS sentiment_polarity, CASE WHEN n = 0 THEN 0.0 ELSE round((up + down) / n::DOUBLE, 6) END AS sentiment_subjectivity FROM (SELECT doc_id, {COUNT_OF(UP, 'text')} AS up, {COUNT_OF(DOWN, 'text')} AS down, len(regexp_extract_all(lower(text), '[a-z0-9'']+')) AS n FROM documents)")
+def text_sentiment(spark, d):
+    """Polarity and subjectivity of whole documents, with scorers of words that these tables hold."""
+    held = {name: labels.scorer(name) for name in ("polarity", "subjectivity")}
+    labels.register_scorer("polarity", POLARITY)
+    labels.register_scorer("subjectivity", labels.share_scorer(UP + DOWN))
+    try:
+        rows = labels.document_sentiment(table(spark, d, "documents").select("doc_id", "text"), F.col("text")).drop("text")
+    finally:
+        labels.SCORERS.update(held)
+    return rows.select("doc_id", *[F.round(c, 6).alias(c) for c in rows.columns[1:]])
+
+
+ONE_LINE = "replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ')"
+LOGIT = lambda seed, k: f"(('0x' || substr(md5('{seed}:{k}:' || h), 1, 6))::BIGINT / 4194304.0 - 2.0)"
+EMOTION_SQL = ", ".join(f"[{', '.join(LOGIT(f'emotion{k}', j) for j in range(n))}]::DOUBLE[] AS e{k}" for k, n in ((1, 7), (2, 6), (3, 7)))
+TWICE = ", ".join(f"{SOFT.format(x=f'p{k}')} AS q{k}" for k in (1, 2, 3))
+ONCE = ", ".join(f"{SOFT.format(x=f'e{k}')} AS p{k}" for k in (1, 2, 3))
+EMOTION_COLUMNS = ", ".join(f'round(q{k}[{j + 1}], 6) AS "{k}_{name}"' for k, (_, _, names) in enumerate(labels.EMOTIONS, 1) for j, name in enumerate(names))
+
+
+def rounded_emotions(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({f"{prefix}_{n}": F.round(f"{prefix}_{n}", 6) for _, prefix, names in labels.EMOTIONS for n in names})
+
+
+@query(f"SELECT doc_id, {EMOTION_COLUMNS} FROM (SELECT *, {TWICE} FROM (SELECT *, {ONCE} FROM (SELECT doc_id, {EMOTION_SQL} FROM (SELECT doc_id, md5({ONE_LINE}) AS h FROM documents))))")
 def emotion_columns(spark, d):
-    return labels.emotions(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
+    return rounded_emotions(labels.emotions(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text"))
 
 
 @query("SELECT doc_id, CASE WHEN l1 > l0 THEN 'Moralized' ELSE 'Non-Moralized' END AS moralization FROM (SELECT doc_id, ('0x' || substr(md5('moralization:0:' || md5(t)), 1, 6))::BIGINT AS l0, ('0x' || substr(md5('moralization:1:' || md5(t)), 1, 6))::BIGINT AS l1 FROM (SELECT doc_id, replace(regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g'), chr(10), ' ') AS t FROM documents))")
@@ -652,11 +801,13 @@ def moralization_labels(spark, d):
     return labels.moralized(table(spark, d, "documents").select("doc_id", "text"), T.one_line(F.col("text"))).drop("text")
 
 
-@query()
+@query(f"""WITH {HITS}, kept AS (SELECT id, text, string_agg(side || ': ' || term, ', ' ORDER BY side || ': ' || term) AS matched_patterns FROM (SELECT DISTINCT id, lower(text) AS text, lang, side, term FROM hits) WHERE lang = 'en' GROUP BY id, text),
+one AS (SELECT id, matched_patterns, {ONE_LINE} AS t FROM kept), hashed AS (SELECT *, md5(t) AS h FROM one WHERE regexp_matches(t, '{PATTERN_SQL}|the')),
+relevant AS (SELECT * FROM hashed WHERE {LOGIT('relevance', 1)} > {LOGIT('relevance', 0)})
+SELECT id, matched_patterns, moralization, {EMOTION_COLUMNS} FROM (SELECT *, {TWICE} FROM (SELECT *, {ONCE} FROM (SELECT id, matched_patterns, CASE WHEN {LOGIT('moralization', 1)} > {LOGIT('moralization', 0)} THEN 'Moralized' ELSE 'Non-Moralized' END AS moralization, {EMOTION_SQL} FROM relevant)))""")
 def post_pipeline(spark, d):
-    from corvane.plans.pipeline import Plan
-
-    return Plan("age", SIDES, [*PATTERNS, "the", "this"]).run(lowered(spark, d)).drop("time")
+    rows = Plan("age", SIDES, [*PATTERNS, "the"]).run(lowered(spark, d), "label_emotion")
+    return rounded_emotions(rows).select("id", "matched_patterns", "moralization", *[f"{prefix}_{n}" for _, prefix, names in labels.EMOTIONS for n in names])
 
 
 @query("SELECT doc_id, source FROM documents WHERE lang = 'en'")

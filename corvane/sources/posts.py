@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from corvane.functions.text import comment_text, parent_id, post_time, submission_text, without_nul
+from corvane.functions.text import clean_author, comment_text, feature_text, parent_id, post_time, submission_text, without_nul
 
 RAW_COMMENT = "id STRING, parent_id STRING, body STRING, author STRING, created_utc STRING, subreddit STRING, score BIGINT"
 RAW_SUBMISSION = "id STRING, title STRING, selftext STRING, author STRING, created_utc STRING, subreddit STRING, score BIGINT"
@@ -28,7 +27,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 class ZstdLines(DataSource):
     """format("ndjson_zst"): NDJSON in zstd frames of any window up to 2 GiB, one partition for each file of option "paths" (a
-    JSON list). Lines that aren't JSON objects are dropped. Values are read as the schema's strings and numbers."""
+    JSON list of paths or URIs of any store that Arrow reads). Frames can't be entered in the middle, so a file is one task, read as a
+    stream; convert large months once to Parquet. Lines that aren't JSON objects are dropped. Values are read as the schema's strings and numbers."""
 
     @classmethod
     def name(cls) -> str:
@@ -42,25 +42,38 @@ class ZstdLines(DataSource):
 
 
 class ZstdLinesReader(DataSourceReader):
+    #: Rows of an Arrow batch.
+    BATCH = 8192
+
     def __init__(self, paths: list[str], schema: StructType) -> None:
         self.paths, self.fields = paths, [(f.name, f.dataType.typeName()) for f in schema.fields]
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition):
         import io
 
+        import pyarrow as pa
         import zstandard
+        from pyarrow import fs
 
-        with open(partition.value, "rb") as f, zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(f, read_across_frames=True) as stream:
+        kinds = [(name, pa.int64() if kind == "long" else pa.string()) for name, kind in self.fields]
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, (_, kind) in zip(zip(*rows, strict=True), kinds, strict=True)], [n for n, _ in kinds])
+        store, path = fs.FileSystem.from_uri(partition.value)
+        rows = []
+        with store.open_input_stream(path, compression=None) as f, zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(f, read_across_frames=True) as stream:
             for line in io.TextIOWrapper(stream, encoding="utf-8", errors="ignore"):
                 try:
                     post = json.loads(line)
-                    row = tuple(self._value(post.get(name), kind) for name, kind in self.fields)
+                    rows.append(tuple(self._value(post.get(name), kind) for name, kind in self.fields))
                 except (ValueError, AttributeError, TypeError):
                     continue
-                yield row
+                if len(rows) == self.BATCH:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
 
     @staticmethod
     def _value(value, kind: str):
@@ -71,13 +84,26 @@ class ZstdLinesReader(DataSourceReader):
         return value if isinstance(value, str) else json.dumps(value)
 
 
-def raw_posts(spark: SparkSession, paths: list[str], kind: str = "comments", large_windows: bool = False) -> DataFrame:
-    """Raw posts with the file they are from. Spark decodes zstd itself; frames of over 128 MiB windows need `large_windows`."""
+def raw_posts(spark: SparkSession, paths: list[str], kind: str = "comments", large_windows: bool = False, quarantine: str | None = None) -> DataFrame:
+    """Raw posts with the file they are from. Spark decodes zstd itself; frames of over 128 MiB windows need `large_windows`.
+
+    Lines that don't parse are left out; with `quarantine` they are appended to the table at that path, with their file.
+    """
     schema = RAW_COMMENT if kind == "comments" else RAW_SUBMISSION
     if large_windows:
         spark.dataSource.register(ZstdLines)
         return spark.read.format("ndjson_zst").schema(schema).option("paths", json.dumps(paths)).load()
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths).withColumn("file", F.col("_metadata.file_name"))
+    good, bad = quarantined(spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file")), schema)
+    if quarantine:
+        bad.write.mode("append").parquet(quarantine)
+    return good
+
+
+def quarantined(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Of JSON lines (value, file): the parsed rows, and the lines that don't parse, with their file."""
+    parsed = lines.withColumn("__row", F.from_json("value", schema + ", __broken STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"}))
+    whole = F.col("__row").isNotNull() & F.col("__row.__broken").isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
+    return parsed.where(whole).select("file", "__row.*").drop("__broken"), parsed.where(~F.coalesce(whole, F.lit(False))).select("file", F.col("value").alias("line"))
 
 
 def normalised(raw: DataFrame, kind: str = "comments") -> DataFrame:
@@ -103,6 +129,16 @@ def write_curated(rows: DataFrame, path: str) -> None:
     out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
 
 
-def write_stage(rows: DataFrame, path: str, keys: tuple[str, ...] = ("year", "month")) -> None:
-    """A stage's table, partitioned by month; only the months at hand are replaced."""
+def feature_posts(raw: DataFrame, kind: str = "comments") -> DataFrame:
+    """(id, author, text, subreddit, time) of raw posts for author features: the text keeps its case."""
+    missing = F.lit(None).cast("string")
+    text = feature_text(kind, F.col("body"), missing, missing) if kind == "comments" else feature_text(kind, missing, F.col("title"), F.col("selftext"))
+    return raw.select("id", clean_author(F.col("author")).alias("author"), text.alias("text"), "subreddit", post_time(F.col("created_utc")).alias("time"))
+
+
+def write_stage(rows: DataFrame, path: str, keys: tuple[str, ...] = ("year", "month"), append: bool = False) -> None:
+    """A stage's table, partitioned by month; only the months at hand are replaced, or, on resuming, added to."""
+    if append:
+        rows.write.mode("append").partitionBy(*keys).parquet(path)
+        return
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def application_folder(spark: SparkSession) -> str:
-    """This application's folder under spark.checkpoint.dir, or under a local one where that is unset, as in tests. It is deleted when the
-    driver's JVM ends."""
+    """This application's folder under spark.checkpoint.dir, or under a local one where that is unset and the master is local, as in tests;
+    on a cluster a local folder would be unreadable elsewhere, so that is an error. It is deleted when the driver's JVM ends."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not spark.conf.get("spark.checkpoint.dir", None) and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corvane-"))
     folder = f"{spark.conf.get('spark.checkpoint.dir', None) or context.getCheckpointDir()}/{context.applicationId}"
     path = context._jvm.org.apache.hadoop.fs.Path(folder)

@@ -247,4 +247,171 @@ def test_command_line(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "kept"))
     assert sorted(r.id for r in kept.collect()) == ["0", "1", "3"]
     cli.main(["--resource", "filter_sample", "--posts", str(tmp_path / "kept"), "--out", str(tmp_path / "sample"), "--sample", "9", *common])
-    assert spark.read.option("header", True).csv(str(tmp_path / "sample")).count() == 9
+    sample = str(tmp_path / "sample/sample_n9_2010_to_2010")
+    assert spark.read.option("header", True).csv(f"{sample}/annot0").count() == 9
+    key = spark.read.option("header", True).csv(f"{sample}/annot1_key")
+    assert key.columns == ["random_id", "file", "original_id", "keywords", "sample_type"] and key.count() == 9
+
+
+PLAN_TEXT = "an old man. Is he kind? He is good and great, or not! the end"
+
+
+def plain_generalized(text):
+    """Snippets, tags, clauses and labels of a short text in plain Python."""
+    import hashlib
+    import re
+
+    sentences = [x for x in (p.strip(" ") for p in re.split(r"(?<=[.!?])\s+|\n+", text)) if x]
+    words = " ".join(sentences).split()  # under 200 words: one snippet
+    tags = [2 if w[-1] in ".,;:!?" else 1 if i == 0 or words[i - 1][-1] in ".,;:!?" else 0 for i, w in enumerate(words)]
+    clauses = plain_clauses(words, tags)
+    names = [x[0] for x in labels.CLAUSE_LABELS]
+    return clauses, ["##QUESTION" if c.endswith("?") else names[int(hashlib.md5(c.encode()).hexdigest()[:6], 16) % 18] for c in clauses]
+
+
+def test_generalization_is_the_plain_one(spark, data):
+    rows = spark.read.parquet(f"{data}/documents.parquet").where("n_chars < 900").select("doc_id", "text")
+    rows = rows.union(spark.createDataFrame([(-1, PLAN_TEXT), (-2, None), (-3, "")], "doc_id long, text string"))
+    seen = 0
+    for r in labels.generalized(rows, text.one_line(F.col("text"))).collect():
+        if r.doc_id >= 0 and len(r.text.split()) > 190:
+            continue
+        clauses, found = plain_generalized((r.text or "").strip().replace("\n", " "))
+        seen += len(clauses) > 2
+        assert (r.clauses, r.generalization_clause_labels) == (clauses, found)
+        attributes = {x[0]: x[1:] for x in labels.CLAUSE_LABELS}
+        assert r.genericity_generic_count == sum(attributes[x][0] == "generic" for x in found) and r.NA_count == sum(attributes[x][2] == "NA" for x in found)
+    assert seen > 5
+
+
+def test_scored_language(spark):
+    rows = spark.createDataFrame([(1, "The end of the day is near"), (2, "le jour et la nuit"), (3, "12 34"), (4, None)], "id long, text string")
+    got = {r.id: r.x for r in rows.select("id", labels.scorer("language")(F.col("text")).alias("x")).collect()}
+    assert got == {1: "en", 2: "fr", 3: "und", 4: "und"}
+
+
+def test_source_rows_of_a_large_file(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", "b", "b", None]), k) for k in rng.sample(range(10_000), 900)]
+    got = {(r.f, r.pos): r.source_row for r in audit.with_source_row(spark.createDataFrame(rows, "f string, pos long").repartition(7), "f", ["pos"]).collect()}
+    for f in ("a", "b", None):
+        own = sorted(p for x, p in rows if x == f)
+        assert [got[f, p] for p in own] == list(range(1, len(own) + 1))
+
+
+def test_correlation_p_value():
+    # Of published tables of t: r = 0.632 of 10 pairs and r = 0.765 are the bounds of 0.05 and 0.01.
+    assert abs(evaluation.pearson_p(0.6319, 10) - 0.05) < 1e-4 and abs(evaluation.pearson_p(0.7646, 10) - 0.01) < 1e-4
+    assert evaluation.pearson_p(0.0, 10) == 1.0 and evaluation.pearson_p(1.0, 10) == 0.0 and math.isnan(evaluation.pearson_p(0.5, 2))
+
+
+def test_locations_of_posts(spark, data):
+    from corvane.plans.queries import SMOOTHING, model_of
+    from corvane.sources.posts import posts as posts_of
+
+    m = model_of(spark, data)
+    rows = posts_of(spark, data).union(spark.createDataFrame([(-1, "x", "en", "s", "[deleted]", None), (-2, "x", "en", "s", None, None)], posts_of(spark, data).schema))
+    found, fresh = location.located(rows, m, SMOOTHING, months=[(2024, 1)], most_posts=3)
+    got = {r.id: r.location for r in found.select("id", "location").collect()}
+    assert got[-1] == got[-2] == location.UNKNOWN and {v for k, v in got.items() if k >= 0} <= {f"g{k}" for k in range(7)} and fresh.columns == ["author", "location"]
+    assert [r.location for r in location.likeliest(m["priors"], 2).collect()] == [r.location for r in m["priors"].orderBy(F.desc("prior"), "location").collect()][:2]
+
+
+def test_vocabularies_and_splits(spark, tmp_path):
+    (tmp_path / "list.json").write_text(json.dumps([{"author": " a", "vocab": {"x": 2, "y": 0}}, {"author": "b", "vocab": {"z": 1}}]))
+    (tmp_path / "named.json").write_text(json.dumps({"a": {"x": 2}, "b": {"z": 1}}))
+    (tmp_path / "lines.jsonl").write_text('{"author": "a", "vocab": {"x": 9}}\n{"author": "a", "vocab": {"x": 2}}\n{"author": "b", "vocab": {"z": 1}}\n')
+    users = spark.createDataFrame([("a",)], "author string")
+    for name in ("list.json", "named.json", "lines.jsonl"):
+        assert sorted(map(tuple, tables.read_vocabulary(spark, str(tmp_path / name)).collect())) == [("a", "w:x", 2), ("b", "w:z", 1)]
+        assert [tuple(r) for r in tables.read_vocabulary(spark, str(tmp_path / name), users).collect()] == [("a", "w:x", 2)]
+    homes = spark.createDataFrame([("a", "g")], "author string, location string")
+    small = spark.createDataFrame([("a", "s:n", 4), ("b", "s:n", 1)], "author string, feature string, cnt long")
+    words = tables.read_vocabulary(spark, str(tmp_path / "named.json"))
+    assert sorted(map(tuple, tables.geo_vocabulary(words, homes, small).collect())) == [("g", "s:n", 4), ("g", "w:x", 2)]
+    (tmp_path / "train_users.csv").write_text('u1,9\n"u,2"\n')
+    (tmp_path / "train_labels.txt").write_text("1\n0\nx\n")
+    assert [r.item for r in tables.read_split_items(spark, str(tmp_path / "train_users.csv")).collect()] == ["u1", "u,2"]
+    assert [r.item for r in tables.read_split_items(spark, str(tmp_path / "train_labels.txt"), "int").collect()] == [1, 0, None]
+    (tmp_path / "split.csv").write_text('id,counts\nu,"{""q"": 4, ""r"": -1}"\n')
+    assert [tuple(r) for r in tables.read_split_users(spark, str(tmp_path / "split.csv"), "id", ["counts"]).collect()] == [("u", "q", 4)]
+    tables.write_split(sampling.exact_split(spark.range(10), "id"), str(tmp_path / "s"))
+    assert [tables.read_split(spark, str(tmp_path / "s"), k).count() for k in ("train", "valid", "test")] == [8, 1, 1]
+
+
+def test_annotations_of_two_raters(spark, tmp_path):
+    (tmp_path / "relevance_sample_age_0_rated.csv").write_text("id,text,rating\n1, one ,x\n2,two,0\n3,three,1\n")
+    (tmp_path / "relevance_sample_age_1_rated.csv").write_text("id,text,rating\n1,other,0\n2,other,1\n3,other,x\n")
+    (tmp_path / "age_retraining_sample_rated.csv").write_text("id,q,text,rating\n7,?,again,x\n8,?,more,1\n")
+    got = sorted((r.doc_id, r.text, r.label) for r in tables.main_annotations(spark, str(tmp_path), "age").collect())
+    assert got == [(1, "one", 0), (2, "two", 1), (3, "three", 1)]
+    assert sorted((r.doc_id, r.text, r.label) for r in tables.retraining_annotations(spark, str(tmp_path), "age").collect()) == [(7, "again", 0), (8, "more", 1)]
+
+
+def test_raw_lines_that_break_are_kept_aside(spark, tmp_path):
+    (tmp_path / "RC_2010-01.json").write_text(json.dumps(RAW[0]) + "\n{broken\n[1]\n" + json.dumps(RAW[1]) + "\n")
+    rows = posts.raw_posts(spark, [str(tmp_path / "RC_2010-01.json")], quarantine=str(tmp_path / "bad"))
+    assert sorted(r.id for r in rows.collect()) == ["a", "b"] and {r.file for r in rows.collect()} == {"RC_2010-01.json"}
+    assert sorted(r.line for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["[1]", "{broken"]
+    own = posts.feature_posts(rows).orderBy("id").first()
+    assert own.text == "An OLD man\u0000" and own.author == "x"
+
+
+def test_stages_count_their_rows(spark, tmp_path):
+    from corvane.plans.pipeline import Plan
+
+    rows = spark.createDataFrame([(str(k), t, "en", 2010, 1) for k, t in enumerate(["an old man", "kidney", "none", None])], "id string, text string, lang string, year int, month int")
+    plan = Plan("age", [("old", ["old"]), ("young", ["kid"])], ["old"])
+    counts = plan.run_and_write(rows, "filter_language", str(tmp_path / "out"), str(tmp_path / "metrics"))
+    assert counts["input"] == {"total": 4, "missing": 1} and counts["filter_keywords"]["total"] == counts["filter_language"]["total"] == 2
+    plan.run_and_write(rows, "filter_language", str(tmp_path / "out"), str(tmp_path / "metrics"), append=True)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4 and spark.read.parquet(str(tmp_path / "metrics")).count() == 12
+    with pytest.raises(ValueError):
+        plan.run(rows, "label_location")
+    labelled = plan.run(rows, "label_emotion")
+    assert {"moralization", "sentiment_polarity", "clauses", "1_anger"} <= set(labelled.columns)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from corvane.sources import scratch
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        scratch.application_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
+
+
+def test_every_resource_of_the_command_line(spark, tmp_path):
+    for resource in ("label_location", "metrics_interrater", "train_relevance", "train_location", "label_sentiment"):
+        with pytest.raises(SystemExit):
+            cli.arguments(["--resource", resource, "--group", "age", "--out", "o"])
+    with pytest.raises(SystemExit):
+        cli.arguments(["--resource", "filter_sample", "--group", "age", "--years", "1999", "--posts", "p", "--sample", "3", "--out", "o"])
+    for k in (0, 1):
+        for name in (f"relevance_sample_age_{k}.csv", f"relevance_sample_age_{k}_rated.csv"):
+            (tmp_path / name).write_text("id,text,rating\n" + "".join(f"{i},{'good old words' if i % 2 else 'other things here'},{int(i % 2 == 1 and (i + k) % 9 > 0)}\n" for i in range(40)))
+    cli.main(["--resource", "metrics_interrater", "--group", "age", "--ratings", str(tmp_path), "--out", str(tmp_path / "kappa")])
+    row = spark.read.option("header", True).csv(str(tmp_path / "kappa")).first()
+    assert row.n == "40" and float(row.cohen_kappa) > 0.5 and 0 <= float(row.p_value) < 0.01 and row.unmatched == "0"
+    cli.main(["--resource", "train_relevance", "--group", "age", "--ratings", str(tmp_path), "--out", str(tmp_path / "relevance")])
+    assert spark.read.parquet(str(tmp_path / "relevance/metrics")).count() == 1
+    own = spark.createDataFrame([(f"u{k}", f"w:{'ab'[k % 2]}{j}", 3) for k in range(20) for j in range(4)], "author string, feature string, cnt long")
+    homes = spark.createDataFrame([(f"u{k}", "gh"[k % 2], "train" if k < 14 else "valid") for k in range(20)], "author string, location string, split string")
+    own.write.parquet(str(tmp_path / "features"))
+    homes.write.parquet(str(tmp_path / "homes"))
+    cli.main(["--resource", "train_location", "--features", str(tmp_path / "features"), "--homes", str(tmp_path / "homes"), "--out", str(tmp_path / "location")])
+    (tmp_path / "age_old.txt").write_text("old")
+    (tmp_path / "age_young.txt").write_text("kid")
+    (tmp_path / "age_old_adv.txt").write_text("old")
+    (tmp_path / "age_young_adv.txt").write_text("kid")
+    rows = spark.createDataFrame([(str(k), "an old a0 a1 the of", "u2", "s", "2010-01-05 10:00:00", "en", 2010, 1) for k in range(12)], "id string, text string, author string, subreddit string, time string, lang string, year int, month int")
+    rows.write.parquet(str(tmp_path / "posts"))
+    common = ["--group", "age", "--years", "2010", "--terms", str(tmp_path), "--posts", str(tmp_path / "posts")]
+    cli.main(["--resource", "label_location", "--model", str(tmp_path / "location/model"), "--out", str(tmp_path / "located"), "--array", "0", *common])
+    counted = {r.stage for r in spark.read.parquet(str(tmp_path / "located_metrics")).collect()}
+    assert {"input", "filter_keywords", "label_generalization", "label_location"} <= counted
+    from corvane.plans.pipeline import Plan
+
+    plan = Plan("age", [("old", ["old"])], ["old"], location_model=tables.load_model(spark, str(tmp_path / "location/model")))
+    assert {r.location for r in plan.label_location(rows).collect()} <= {"g", "h"}

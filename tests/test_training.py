@@ -4,14 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvane.operators import training
-from corvane.sources import files
+from corvane.sources import files, posts
 
 
 def test_classifier_learns_and_follows_the_rule(spark):
     rows = spark.createDataFrame([(k, "good fine nice" if k % 4 == 0 else "bad poor awful", int(k % 4 == 0)) for k in range(80)], "id long, text string, label int")
     model = training.fit_classifier(rows)
     out = training.classify(model, rows, "race")
-    assert out.columns == ["id", "text", "label", "predicted"] and out.where("predicted <> label").count() == 0
+    assert out.columns == ["id", "text", "label", "predicted", "p"] and out.where("predicted <> label").count() == 0
 
 
 def test_grid_search_resumes(spark, tmp_path, monkeypatch):
@@ -33,7 +33,7 @@ def test_metrics_and_quarantine(spark, tmp_path):
     training.log_metrics(spark, str(tmp_path / "metrics"), "stage", seen.get)
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
     lines = spark.createDataFrame([('{"id": "a"}', "f"), ("{oops", "f"), ("", "g")], "value string, file string")
-    good, bad = training.quarantined(lines, "id STRING")
+    good, bad = posts.quarantined(lines, "id STRING")
     assert [r.id for r in good.collect()] == ["a"] and bad.count() == 2
 
 
