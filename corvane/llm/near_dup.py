@@ -137,8 +137,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     salts = F.expr(f"ceil(n / {RAYS})")
     pairs = written(pairs.groupBy("id", "pivot").agg(F.max("n").alias("n")).select("id", "pivot", salts.alias("salts"), F.pmod(F.xxhash64("id"), salts).alias("salt")), "pairs")
     dealt = ["pivot", "salts", "salt"]
-    pivots = pairs.select(*dealt).distinct().join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tb")), "pivot")
-    joined = pairs.join(texts.select("id", F.col("text").alias("ta")), "id").join(pivots, dealt)
+    # Texts are dealt out by id at every size, so that what a small input shows holds for a large one.
+    pivots = pairs.select(*dealt).distinct().hint("merge").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tb")), "pivot")
+    joined = pairs.hint("merge").join(texts.select("id", F.col("text").alias("ta")), "id").join(pivots.hint("merge"), dealt)
     found = joined.select("id", "pivot", "ta", "tb").where("ta IS NOT NULL AND tb IS NOT NULL")
     return found.mapInArrow(_verifier(), "id long, pivot long, similarity double, n int, n_pivot int, lacks binary, adds binary")
 
