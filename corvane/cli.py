@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions.text import unique_keywords
-from corvane.operators import audit, evaluation, features, location, sampling, training
+from corvane.operators import audit, evaluation, features, labels, location, sampling, training
 from corvane.plans.pipeline import Plan
 from corvane.session import session
 from corvane.sources import tables
@@ -31,6 +32,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("-t", "--type", default="comments", choices=("comments", "submissions"))
     parser.add_argument("--posts", help="stored posts (Parquet, with year and month), or raw dumps with --raw")
     parser.add_argument("--raw", action="store_true")
+    parser.add_argument("--large-windows", action="store_true", help="raw dumps have zstd frames of windows over 128 MiB; a file is then one task")
+    parser.add_argument("--trained", action="append", default=[], metavar="NAME=FOLDER", help="a classifier that train_relevance wrote, in place of the scorer NAME (relevance, moralization, emotion_1, ...); may be repeated")
     parser.add_argument("--terms", help="folder of term and pattern lists")
     parser.add_argument("--ratings", help="folder of raters' files")
     parser.add_argument("--features", help="table (author, feature, cnt) of training users")
@@ -59,6 +62,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for name in ("batchsize", "sample", "numjob", "files_per_job", "maxitems", "maxfiles"):
         if getattr(out, name) is not None and getattr(out, name) <= 0:
             parser.error(f"{name} must be positive")
+    for given in out.trained:
+        if given.partition("=")[0] not in labels.SCORERS or not given.partition("=")[2]:
+            parser.error(f"--trained {given}: give NAME=FOLDER, NAME one of {', '.join(sorted(labels.SCORERS))}")
     try:
         out.years = audit.years_of(out.years) if out.years else None
     except ValueError as error:
@@ -68,7 +74,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def posts_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.raw:
-        posts = normalised(raw_posts(spark, args.posts.split(","), args.type, quarantine=f"{args.out}_quarantine"), args.type)
+        posts = normalised(raw_posts(spark, args.posts.split(","), args.type, args.large_windows, f"{args.out}_quarantine"), args.type)
         posts = posts.withColumns({"year": F.year(F.to_timestamp("time")), "month": F.month(F.to_timestamp("time"))})
     else:
         posts = spark.read.parquet(args.posts)
@@ -118,6 +124,9 @@ def stage(spark: SparkSession, args: argparse.Namespace) -> None:
     posts = posts_of(spark, args)
     patterns = [p for _, listed in load_sides(spark, args.terms, args.group, sides, advanced=True) for p in listed]
     model = tables.load_model(spark, args.model) if args.model else None
+    for given in args.trained:
+        name, _, folder = given.partition("=")
+        labels.register_model(name, PipelineModel.load(folder))
     # A job of one month looks for its authors' posts round that month; one of more months takes them in the order of time.
     one = args.array is not None and args.files_per_job == 1
     months = location.month_spiral(args.years[0] + args.array // 12, args.array % 12 + 1, args.maxradius, args.maxfiles) if one else None

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import argmax, double_softmax, let, ratio
+from corvane.functions.text import tokens
 
 #: name -> a function from a text column to a column of scores. Neural models are registered by their users.
 SCORERS: dict[str, Callable[[Column], Column]] = {}
@@ -23,6 +26,25 @@ def scorer(name: str) -> Callable[[Column], Column]:
     return SCORERS[name]
 
 
+#: name -> a fitted classifier over the column __tokens, which takes the place of the scorer of that name.
+MODELS: dict[str, PipelineModel] = {}
+
+
+def register_model(name: str, model: PipelineModel) -> None:
+    """A classifier of `training.fit_classifier`, whose classes are the outputs of the scorer `name`, in order."""
+    MODELS[name] = model
+
+
+def scored(posts: DataFrame, name: str, text: Column, into: str) -> DataFrame:
+    """posts with the column `into`: the logits that the model registered under `name` gives text, or else the scorer of that name."""
+    if name not in MODELS:
+        return posts.withColumn(into, scorer(name)(text))
+    out = MODELS[name].transform(posts.withColumn("__tokens", tokens(text)))
+    # Softmax of the logarithms gives the probabilities back; 0 has none.
+    logits = F.transform(vector_to_array("__p"), lambda x: F.ln(F.greatest(x, F.lit(1e-300))))
+    return out.withColumn(into, logits).drop("__tokens", "__features", "__raw", "__p", "__prediction")
+
+
 def hashed_scorer(seed: str, outputs: int) -> Callable[[Column], Column]:
     """A deterministic stand-in for a model: logits from -2 to 2 by the text's hash. It knows nothing of the text's meaning."""
 
@@ -139,13 +161,14 @@ def emotions(posts: DataFrame, text: Column) -> DataFrame:
     """The twenty emotion columns: each model's logits through softmax twice."""
     out = posts
     for name, prefix, names in EMOTIONS:
-        out = out.withColumn("__scores", double_softmax(scorer(name)(text)))
+        out = scored(out, name, text, "__logits").withColumn("__scores", double_softmax(F.col("__logits"))).drop("__logits")
         out = out.withColumns({f"{prefix}_{n}": F.col("__scores")[k] for k, n in enumerate(names)}).drop("__scores")
     return out
 
 
 def moralized(posts: DataFrame, text: Column) -> DataFrame:
-    return posts.withColumn("moralization", F.when(argmax(scorer("moralization")(text)) == 1, "Moralized").otherwise("Non-Moralized"))
+    moral = F.when(argmax(F.col("__logits")) == 1, "Moralized").otherwise("Non-Moralized")
+    return scored(posts, "moralization", text, "__logits").withColumn("moralization", moral).drop("__logits")
 
 
 def sentences(text: Column) -> Column:

@@ -53,7 +53,8 @@ class Plan:
         return posts.where(F.col("lang") == self.language).withColumn("text", one_line(F.col("text")))
 
     def filter_relevance(self, posts: DataFrame) -> DataFrame:
-        return posts.where(is_relevant(self.group, softmax(labels.scorer("relevance")(one_line(F.col("text"))))))
+        scored = labels.scored(posts, "relevance", one_line(F.col("text")), "__logits")
+        return scored.where(is_relevant(self.group, softmax(F.col("__logits")))).drop("__logits")
 
     def label_sentiment(self, posts: DataFrame) -> DataFrame:
         text = one_line(F.col("text"))

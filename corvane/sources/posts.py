@@ -26,62 +26,45 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class ZstdLines(DataSource):
-    """format("ndjson_zst"): NDJSON in zstd frames of any window up to 2 GiB, one partition for each file of option "paths" (a
-    JSON list of paths or URIs of any store that Arrow reads). Frames can't be entered in the middle, so a file is one task, read as a
-    stream; convert large months once to Parquet. Lines that aren't JSON objects are dropped. Values are read as the schema's strings and numbers."""
+    """format("lines_zst"): (value, file), the lines of zstd frames of any window up to 2 GiB, one partition for each file of option "paths"
+    (a JSON list of paths or URIs of any store that Arrow reads). Frames can't be entered in the middle, so a file is one task, read as a
+    stream; convert large months once to Parquet. Bytes that are no UTF-8 are left out."""
 
     @classmethod
     def name(cls) -> str:
-        return "ndjson_zst"
+        return "lines_zst"
 
     def schema(self) -> str:
-        return RAW_COMMENT
+        return "value STRING, file STRING"
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return ZstdLinesReader(json.loads(self.options["paths"]), schema)
+        return ZstdLinesReader(json.loads(self.options["paths"]))
 
 
 class ZstdLinesReader(DataSourceReader):
-    #: Rows of an Arrow batch.
+    #: Lines of an Arrow batch.
     BATCH = 8192
 
-    def __init__(self, paths: list[str], schema: StructType) -> None:
-        self.paths, self.fields = paths, [(f.name, f.dataType.typeName()) for f in schema.fields]
+    def __init__(self, paths: list[str]) -> None:
+        self.paths = paths
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition: InputPartition):
         import io
+        from itertools import batched
 
         import pyarrow as pa
         import zstandard
         from pyarrow import fs
 
-        kinds = [(name, pa.int64() if kind == "long" else pa.string()) for name, kind in self.fields]
-        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, (_, kind) in zip(zip(*rows, strict=True), kinds, strict=True)], [n for n, _ in kinds])
         store, path = fs.FileSystem.from_uri(partition.value)
-        rows = []
+        name = path.rpartition("/")[2]
         with store.open_input_stream(path, compression=None) as f, zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(f, read_across_frames=True) as stream:
-            for line in io.TextIOWrapper(stream, encoding="utf-8", errors="ignore"):
-                try:
-                    post = json.loads(line)
-                    rows.append(tuple(self._value(post.get(name), kind) for name, kind in self.fields))
-                except (ValueError, AttributeError, TypeError):
-                    continue
-                if len(rows) == self.BATCH:
-                    yield batch(rows)
-                    rows = []
-        if rows:
-            yield batch(rows)
-
-    @staticmethod
-    def _value(value, kind: str):
-        if value is None:
-            return None
-        if kind == "long":
-            return int(value)
-        return value if isinstance(value, str) else json.dumps(value)
+            lines = (line.rstrip("\n") for line in io.TextIOWrapper(stream, encoding="utf-8", errors="ignore", newline="\n"))
+            for held in batched(lines, self.BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array([name] * len(held), pa.string())], ["value", "file"])
 
 
 def raw_posts(spark: SparkSession, paths: list[str], kind: str = "comments", large_windows: bool = False, quarantine: str | None = None) -> DataFrame:
@@ -92,8 +75,10 @@ def raw_posts(spark: SparkSession, paths: list[str], kind: str = "comments", lar
     schema = RAW_COMMENT if kind == "comments" else RAW_SUBMISSION
     if large_windows:
         spark.dataSource.register(ZstdLines)
-        return spark.read.format("ndjson_zst").schema(schema).option("paths", json.dumps(paths)).load()
-    good, bad = quarantined(spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file")), schema)
+        lines = spark.read.format("lines_zst").option("paths", json.dumps(paths)).load()
+    else:
+        lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file"))
+    good, bad = quarantined(lines, schema)
     if quarantine:
         bad.write.mode("append").parquet(quarantine)
     return good

@@ -357,6 +357,36 @@ def test_raw_lines_that_break_are_kept_aside(spark, tmp_path):
     assert own.text == "An OLD man\u0000" and own.author == "x"
 
 
+def test_broken_lines_of_large_windows_are_kept_aside(spark, tmp_path):
+    data = "\n".join([json.dumps(RAW[0]), "", "{broken", json.dumps(RAW[1] | {"body": "a\u2028b\r"}), "[1]"])
+    (tmp_path / "RC_2010-01.zst").write_bytes(zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(window_log=28)).compress(data.encode()))
+    rows = posts.raw_posts(spark, [str(tmp_path / "RC_2010-01.zst")], large_windows=True, quarantine=str(tmp_path / "bad")).orderBy("id").collect()
+    assert [(r.id, r.body, r.created_utc, r.file) for r in rows] == [("a", RAW[0]["body"], "60", "RC_2010-01.zst"), ("b", "a\u2028b\r", "120", "RC_2010-01.zst")]
+    assert sorted(r.line for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["", "[1]", "{broken"]
+
+
+def test_a_trained_model_takes_the_place_of_its_scorer(spark, tmp_path, monkeypatch):
+    from corvane.operators import training
+    from corvane.plans.pipeline import Plan
+
+    monkeypatch.setattr(labels, "MODELS", {})
+    rated = spark.createDataFrame([(k, "good old words" if k % 3 == 0 else "other things here", int(k % 3 == 0)) for k in range(60)], "id long, text string, label int")
+    rows = spark.createDataFrame([(1, "GOOD\nold words", None), (2, "other things", None), (3, None, None), (4, "", None)], "id long, text string, p string")
+    plan, model = Plan("age", [("old", ["old"])], ["old"]), training.fit_classifier(rated)
+    for name in ("relevance", "moralization"):
+        labels.register_model(name, model)
+    kept = plan.filter_relevance(rows)
+    assert kept.columns == rows.columns and [r.id for r in kept.collect() if r.id < 3] == [1]
+    assert [r.moralization for r in plan.stages["label_moralization"](rows).where("id < 3").orderBy("id").collect()] == ["Moralized", "Non-Moralized"]
+    emotion = training.fit_classifier(spark.createDataFrame([(f"word{k % 7} filler", k % 7) for k in range(70)], "text string, label int"))
+    labels.register_model("emotion_1", emotion)
+    scores = labels.emotions(spark.createDataFrame([(f"word{k}",) for k in range(7)], "text string"), F.col("text")).orderBy("text").collect()
+    names = labels.EMOTIONS[0][2]
+    assert [max(names, key=lambda n: r[f"1_{n}"]) for r in scores] == list(names)
+    with pytest.raises(SystemExit):
+        cli.arguments(["--resource", "filter_relevance", "--group", "age", "--years", "2010", "--posts", "p", "--terms", "t", "--out", "o", "--trained", "nothing=x"])
+
+
 def test_stages_count_their_rows(spark, tmp_path):
     from corvane.plans.pipeline import Plan
 
@@ -382,7 +412,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         scratch.application_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
 
 
-def test_every_resource_of_the_command_line(spark, tmp_path):
+def test_every_resource_of_the_command_line(spark, tmp_path, monkeypatch):
     for resource in ("label_location", "metrics_interrater", "train_relevance", "train_location", "label_sentiment"):
         with pytest.raises(SystemExit):
             cli.arguments(["--resource", resource, "--group", "age", "--out", "o"])
@@ -411,6 +441,9 @@ def test_every_resource_of_the_command_line(spark, tmp_path):
     cli.main(["--resource", "label_location", "--model", str(tmp_path / "location/model"), "--out", str(tmp_path / "located"), "--array", "0", *common])
     counted = {r.stage for r in spark.read.parquet(str(tmp_path / "located_metrics")).collect()}
     assert {"input", "filter_keywords", "label_generalization", "label_location"} <= counted
+    monkeypatch.setattr(labels, "MODELS", {})
+    cli.main(["--resource", "filter_relevance", "--out", str(tmp_path / "relevant"), "--trained", f"relevance={tmp_path / 'relevance/model'}", *common])
+    assert spark.read.parquet(str(tmp_path / "relevant")).count() == 12  # all hold "old", as what was rated relevant does
     from corvane.plans.pipeline import Plan
 
     plan = Plan("age", [("old", ["old"])], ["old"], location_model=tables.load_model(spark, str(tmp_path / "location/model")))
