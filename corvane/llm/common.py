@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+from functools import wraps
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.sources.scratch import application_folder, scratch_folder, written
@@ -10,7 +15,7 @@ from corvane.sources.scratch import application_folder, scratch_folder, written
 #: Maps a UTF-8 byte to itself if it belongs to a word, A-Z to a-z and every other byte to a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
-__all__ = ["WORD_BYTES", "blocks", "free_name", "mix64", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
+__all__ = ["WORD_BYTES", "blocks", "free_name", "lean", "mix64", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +30,22 @@ def free_name(name: str, *frames: DataFrame) -> str:
     return out
 
 
+def lean(run: Callable) -> Callable:
+    """run, a function from the batches of a task to its results, which at the end gives freed memory back to the system.
+
+    Spark keeps Python workers idle beside later stages; allocators would keep what the largest batch took, on top of a full JVM.
+    """
+
+    @wraps(run)
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library only
+            trim(0)
+
+    return whole
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The maximal runs of 0-9, a-z and non-ASCII after lower-casing A-Z, as UTF-8."""
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import blocks, free_name, mix64, words_of, written
+from corvane.llm.common import blocks, free_name, lean, mix64, words_of, written
 
 #: Of the benchmark's characters that are held at once, 8 million take about 60 MB, and 240 MB if no word recurs.
 WIDTH, MOST_CHARS, CHARS = 10, 8_000_000, 4_000_000
@@ -122,6 +122,7 @@ def spans_removed(text: str | None, hits: list[tuple[int, int]]) -> str | None:
 def _finder(windows: Broadcast):
     kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.string())), ("contaminated", pa.bool_())])
 
+    @lean
     def find(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, before in batches:
             texts, had, done = text.to_pylist(), before.to_pylist(), []

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import free_name, written
+from corvane.llm.common import free_name, lean, written
 
 DIMENSIONS, GRAM, SEED = 512, 3, 20260101
 #: The bound of the training sample, in documents of each language; rows of the table of n-gram vectors that are held at a time.
@@ -188,6 +188,7 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: st
     languages, rows = model
     held = docs.sparkSession.sparkContext.broadcast((languages, rows))
 
+    @lean
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names, profile = held.value
         grams = Grams(profile.shape[1])

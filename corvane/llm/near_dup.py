@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import blocks, free_name, settled, words_of, written
+from corvane.llm.common import blocks, free_name, lean, settled, words_of, written
 from corvane.llm.shingles import band_hashes, prob_min_hash, shingle_hashes, weighted
 
 THRESHOLD, BANDS, ROWS = 0.8, 32, 5
@@ -47,6 +47,7 @@ def _keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def _signer(bands: int, rows: int):
+    @lean
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -66,6 +67,7 @@ def _signer(bands: int, rows: int):
 def _verifier():
     """Of pairs (id, pivot, text, pivot's text): the similarity, the numbers of shingles, and the differences."""
 
+    @lean
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
@@ -107,6 +109,7 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 def _crossing(threshold: float):
     """Of each block of members of a bucket, one link at most from each asking member to each other component."""
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []

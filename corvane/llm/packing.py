@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import blocks
+from corvane.llm.common import blocks, lean
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published pre-token pattern of this vocabulary, and the id after its last, which is free and serves as separator.
@@ -122,6 +122,7 @@ def pack(docs: list[tuple[int | None, np.ndarray]], capacity: int) -> Iterator[t
 
 
 def _packer(vocabulary: str, separator: int, capacity: int, buffer_tokens: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
