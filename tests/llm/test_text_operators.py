@@ -21,6 +21,20 @@ def docs(spark):
 CLASH = ["__hits", "__found", "__language", "__counts", "__kept", "__row", "__text", "__url", "__host", "__page", "__site", "__fold", "host"]
 
 
+def test_lean_changes_neither_results_nor_hints():
+    from collections.abc import Iterator
+    from typing import get_type_hints
+
+    from corvane.llm.common import lean
+
+    def double(batches: Iterator[int]) -> Iterator[int]:
+        for x in batches:
+            yield 2 * x
+
+    assert list(lean(double)(iter([1, 2, 3]))) == [2, 4, 6] and list(lean(double)(iter([]))) == []
+    assert get_type_hints(lean(double)) == get_type_hints(double) and lean(double).__name__ == "double"
+
+
 def test_columns_of_any_name_are_kept(spark, data):
     from pyspark.sql import functions as F
 
