@@ -9,13 +9,14 @@ from functools import wraps
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corvane.sources.scratch import application_folder, scratch_folder, written
 
 #: Maps a UTF-8 byte to itself if it belongs to a word, A-Z to a-z and every other byte to a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
-__all__ = ["WORD_BYTES", "blocks", "free_name", "lean", "mix64", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
+__all__ = ["WORD_BYTES", "blocks", "free_name", "lean", "mix64", "once", "scratch_folder", "settled", "table", "unit", "words_of", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(rows: DataFrame, name: str) -> DataFrame:
+    """rows, but equal ones only once. Their hashes are dealt out, and whole rows only where a hash is met again."""
+    own = free_name("hash", rows)
+    hashed = rows.withColumn(own, F.xxhash64(*rows.columns))
+    again = written(hashed.groupBy(own).count().where("count > 1").select(own), name)
+    return hashed.join(again, own, "left_anti").unionByName(hashed.join(again, own, "left_semi").distinct()).drop(own)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser over uint64."""
     x = x ^ (x >> np.uint64(30))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import free_name, lean, written
+from corvane.llm.common import free_name, lean, once, written
 
 DIMENSIONS, GRAM, SEED = 512, 3, 20260101
 #: The bound of the training sample, in documents of each language; rows of the table of n-gram vectors that are held at a time.
@@ -128,6 +128,7 @@ def scaled(made: np.ndarray) -> np.ndarray:
 def sums_of(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """Languages, ascending, and the sums of their texts' vectors."""
 
+    @lean
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, sums = Grams(dimensions), {}
         for batch in batches:
@@ -143,9 +144,13 @@ def sums_of(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str
 
 
 def levels(labelled: DataFrame, names: list[str], sums: np.ndarray) -> dict[str, float]:
-    """For each language the low strength of its training texts, each measured against the other texts of its language."""
+    """For each language the low strength of its training texts, each measured against the other texts of its language.
+
+    Strengths are rounded to a millionth and counted, so that the quantile is that of every text without a task that holds one number for each.
+    """
     held = labelled.sparkSession.sparkContext.broadcast((names, sums))
 
+    @lean
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, grams = dict(zip(*held.value, strict=True)), Grams(held.value[1].shape[1])
         for batch in batches:
@@ -158,7 +163,8 @@ def levels(labelled: DataFrame, names: list[str], sums: np.ndarray) -> dict[str,
             yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "strength": pa.array(found, pa.float64())})
 
     each = labelled.select("lang", "text").mapInArrow(measure, "lang string, strength double")
-    rows = each.rollup("lang").agg(F.percentile("strength", LOW).alias("low"), F.count("*").alias("n")).collect()  # one row for each language, and one for all
+    counts = each.groupBy("lang", F.round("strength", 6).alias("strength")).agg(F.count("*").alias("n"))
+    rows = counts.rollup("lang").agg(F.percentile("strength", LOW, F.col("n")).alias("low"), F.sum("n").alias("n")).collect()  # one row for each language, and one for all
     low, n = {r["lang"]: r["low"] for r in rows}, {r["lang"]: r["n"] for r in rows}
     return {x: low[x] if n.get(x, 0) >= LEAST_TEXTS else min(low.get(x) or 0.0, low.get(None) or 0.0) for x in names}
 
@@ -179,6 +185,11 @@ def training_sample(docs: DataFrame, id_col: str, rows: int = TRAIN_ROWS) -> Dat
     return every.join(chosen, ["lang", "hash"], "left_semi").groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
 
 
+def training_texts(docs: DataFrame, id_col: str) -> DataFrame:
+    """(lang, text) of every document that has a language. Repeated rows are one document."""
+    return once(docs.where("lang IS NOT NULL").select("lang", F.col(id_col).alias("id"), "text"), "repeated").select("lang", "text")
+
+
 def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", low: dict[str, float] | None = None) -> DataFrame:
     """docs with lang_pred and score: the language of the highest cosine (ties: the first by name) and that cosine, 0 if negative.
 
@@ -227,13 +238,16 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def in_a_language(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs without those of no language: no letters, or less like every language than its own texts are. Without a learned language, those with letters stay."""
-    sample = written(training_sample(docs.where(F.crc32(F.col(id_col).cast("string")) % 3 != 1), id_col), "sample")
-    names, sums = sums_of(sample)
+    """docs without those of no language: no letters, or less like every language than its own texts are. Without a learned language, those with letters stay.
+
+    Prototypes and levels are those of every document that may be learned from: two passes over them before the one that predicts.
+    """
+    learn = training_texts(docs.where(F.crc32(F.col(id_col).cast("string")) % 3 != 1), id_col)
+    names, sums = sums_of(learn)
     named = docs.select(F.struct(*docs.columns).alias("__row"), "text")
     if not names:
         return named.where(has_letters(F.col("text"))).select("__row.*")
-    return predicted(named, (names, scaled(sums)), low=levels(sample, names, sums)).where("lang_pred <> 'und'").select("__row.*")
+    return predicted(named, (names, scaled(sums)), low=levels(learn, names, sums)).where("lang_pred <> 'und'").select("__row.*")
 
 
 def has_letters(text):

@@ -3,6 +3,7 @@
 import base64
 import inspect
 import random
+import zlib
 from collections import Counter
 
 import duckdb
@@ -64,6 +65,26 @@ def test_junk_and_unlearned_languages_are_rejected(spark, data):
     assert len({i for i in kept if i < 10**6} & {r.doc_id for r in docs.where("lang <> 'fr'").collect()}) >= 0.99 * own
 
 
+def test_the_pipeline_learns_languages_from_every_document(spark, monkeypatch):
+    rng, seen = random.Random(5), []
+    rows = [(k, " ".join("".join(rng.choices("abcdefgh" if k % 2 else "ghijklmnop", k=rng.randint(2, 5))) for _ in range(rng.randint(3, 9))), "ab"[k % 2], "s", 0) for k in range(3600)]
+    learn = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert min(Counter(r[2] for r in learn).values()) > language.TRAIN_ROWS
+    monkeypatch.setattr(language, "predicted", lambda docs, model, **given: seen.append((model, given["low"])) or docs.withColumn("lang_pred", F.lit("a")))
+    assert language.in_a_language(table_of(spark, rows + rows[:50])).count() == len(rows) + 50  # repeated rows stay, and are learned from once
+    (names, profile), low = seen[0]
+    grams, found = language.Grams(), []
+    sized = [(r[2], *language.sized_vector(r[1], grams)) for r in learn]
+    for lang, got in zip(names, profile, strict=True):
+        total = sum(v.astype(float) for x, v, _ in sized if x == lang)
+        assert np.allclose(got, total / np.linalg.norm(total), atol=1e-5)
+        own = [(total - v, v, size) for x, v, size in sized if x == lang]
+        each = [language.strength(float(rest @ v) / np.linalg.norm(rest), size) for rest, v, size in own]
+        assert low[lang] == pytest.approx(np.quantile(each, language.LOW), abs=1e-5)
+        found.append(lang)
+    assert found == ["a", "b"]
+
+
 def test_letterless_texts_go_when_nothing_was_learned(spark):
     docs = table_of(spark, [(1, "some words", None, "s", 10), (2, "12 34", None, "s", 5), (3, None, None, "s", 0)])
     assert [r.doc_id for r in language.in_a_language(docs).collect()] == [1]
