@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 
 from corvane.llm import decontaminate, html_text, language, lz_fingerprint, mixing, near_dup, packing, secrets, token_counts, url_filter
@@ -516,6 +517,38 @@ def test_held_out_forms(labelled):
         assert found >= 0.85 and alarms <= 0.35
 
 
+def test_the_network_learns_from_every_document(spark, labelled, monkeypatch):
+    """All windows, of more documents than lend places and of more findings than a few each, take part in training or in the threshold."""
+    rng = random.Random(3)
+    run = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    texts = [f"note {run(32)} of order-{k:06d}-x" for k in range(secrets.SAMPLE_DOCS + 400)] + [" ".join(run(30) for _ in range(45))]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    table = spark.createDataFrame(rows + rows[:30], "doc_id long, text string")
+    found, places = secrets.sample(table, "doc_id", "text")[0], labelled[1]
+    plain = [x for t in texts for x in secrets._labelled(t)]
+    windows_of = found.collect()
+    assert sorted((bytes(r.w), r.y) for r in windows_of) == sorted(plain) and sum(y for _, y in plain) == len(texts) + 44  # repeated rows count once
+    monkeypatch.setattr(secrets, "SHARD", 700)
+    shards, net = secrets.dealt(found), secrets.Network()
+    made = secrets.examples(places, n=60)
+    held = shards.toArrow()
+    learnt = held.filter(held["trained_on"])
+    after = []
+    for shard in sorted(set(learnt["shard"].to_pylist())):
+        x, y = secrets._read(learnt.filter(pc.equal(learnt["shard"], shard)))
+        start = secrets.Network().resume(net.state())
+        after.append(start.epoch(np.concatenate([x, made[0]]), np.concatenate([y, made[1]]), [secrets.SEED + 1, 0, shard]).state())
+    got = secrets.mean_epoch(shards, net, made, 0)
+    assert len(after) > 5 and np.allclose(got, np.mean(after, 0), atol=1e-5) and np.abs(got - net.state()).max() > 0.01
+    net.resume(got)
+    counts = secrets.counted(shards, net)
+    assert sum(c.n for c in counts) + learnt.num_rows == len(plain)
+    net = secrets.trained((found, places))
+    scores = [max(x[3] for x in secrets.spans(t, net)[0]) for t in texts[:300]]
+    assert np.mean(np.array(scores) >= net.threshold) >= 0.95
+    assert rate(net, places, secrets.SECRETS, 390) >= 0.9 and rate(net, places, secrets.HARMLESS, 360) <= 0.1
+
+
 def test_every_candidate_is_scored(net, spark, data):
     docs = spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet")
     rows = secrets.scanned(docs.select("doc_id", "text"), net).collect()
