@@ -60,18 +60,23 @@ def scores(features: DataFrame, authors: DataFrame, params: DataFrame, overrides
     author and location. An author without known features gets the priors. `observed_only` gives the score of training: without the
     terms ln gamma(alpha) of the features that the author doesn't have.
     """
-    listed = overrides.groupBy("feature").agg(F.collect_list(F.struct("location", F.col("cnt").alias("c"))).alias("places"))
-    # A row for each feature of the vocabulary; Spark broadcasts the table if it is small by its own measure.
-    by_feature = written(vocab.select("feature").join(listed, "feature", "left"), "by_feature")
-    base = F.array(F.struct(F.lit(None).cast("string").alias("location"), F.lit(0).cast("long").alias("c")))
-    known = features.where("cnt > 0").join(by_feature, "feature").select("author", "feature", "cnt", F.inline(F.concat(base, F.coalesce("places", F.array().cast("array<struct<location:string,c:bigint>>")))))
-    alpha, c, n = smoothing.of(F.col("feature")), F.col("c"), F.col("cnt")
+    listed = overrides.groupBy("feature").agg(F.collect_list(F.struct("location", "cnt")).alias("__each"))
+    # A row for each feature of the vocabulary; Spark broadcasts the table if it is small by its own measure. What depends on the feature
+    # alone is computed here: the first entry is the base's, and `more` is added to an entry's term.
+    entries = vocab.select("feature", smoothing.of(F.col("feature")).alias("alpha")).join(listed, "feature", "left")
+    entries = entries.select("feature", "alpha", F.inline_outer("__each")).withColumn("c", F.coalesce("cnt", F.lit(0)))
+    entries = entries.select("feature", "alpha", "location", (F.col("alpha") + F.col("c")).alias("at"), (lgamma_rise(F.col("alpha"), F.col("c")) if observed_only else F.lit(0.0)).alias("more"))
     own = smoothing.lgamma(F.col("feature")) if observed_only else F.lit(0.0)
-    known = known.withColumns({"of_base": lgamma_rise(alpha, n), "of_place": lgamma_rise(alpha + c, n)})
-    # lgamma(alpha + c + n) - lgamma(alpha + c) in place of the base term.
+    base = F.array(F.struct(F.lit(None).cast("string").alias("location"), F.col("alpha").alias("at"), own.alias("more")))
+    by_feature = entries.groupBy("feature", "alpha").agg(F.collect_list(F.when(F.col("location").isNotNull(), F.struct("location", "at", "more"))).alias("places"))
+    by_feature = written(by_feature.select("feature", "alpha", F.concat(base, "places").alias("places")), "by_feature")
+    # The JVM's compiler leaves out methods of over 8,000 bytes, so each of the two terms has a step of its own, without branches.
+    known = features.where("cnt > 0").join(by_feature, "feature").select("author", "cnt", lgamma_rise(F.col("alpha"), F.col("cnt")).alias("of_base"), "places")
+    known = known.select("author", "cnt", "of_base", F.inline("places"))
     of_all = F.col("location").isNull()
-    change = F.col("of_place") - F.col("of_base") + (lgamma_rise(alpha, c) if observed_only else F.lit(0.0))
-    parts = known.select("author", "location", F.when(of_all, F.col("of_base") + own).otherwise(change).alias("x"), F.when(of_all, n).otherwise(0).cast("long").alias("n"))
+    # lgamma(alpha + c + n) - lgamma(alpha + c) in place of the base term.
+    known = known.select("author", "location", "cnt", "more", "of_base", lgamma_rise(F.col("at"), F.col("cnt")).alias("of_place"))
+    parts = known.select("author", "location", (F.col("of_place") + F.col("more") - F.when(of_all, 0.0).otherwise(F.col("of_base"))).alias("x"), F.when(of_all, F.col("cnt")).otherwise(0).cast("long").alias("n"))
     places = params.join(location_priors.select("location", "prior"), "location", "left").select("location", "alpha_sum", "lgamma_sum", F.ln(F.coalesce("prior", F.lit(1e-30))).alias("prior"))
     places = written(places, "places")
     zero = authors.select("author").distinct().crossJoin(F.broadcast(places.select("location"))).select("author", "location", F.lit(0.0).alias("x"), F.lit(0).cast("long").alias("n"))
