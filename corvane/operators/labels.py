@@ -171,9 +171,14 @@ def moralized(posts: DataFrame, text: Column) -> DataFrame:
     return scored(posts, "moralization", text, "__logits").withColumn("moralization", moral).drop("__logits")
 
 
+#: White space of sentences as SQL's engine sees it (without the vertical tab), and the spaces that it trims (Unicode's class Zs).
+WHITE, ZS = r"[\t\n\f\r ]+", "".join(map(chr, (0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
+
+
 def sentences(text: Column) -> Column:
-    """A stand-in for a sentence model: parts that end with '.', '!', '?' or a line feed, stripped, empty ones dropped."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+|\n+"), F.trim), lambda s: s != "")
+    """A stand-in for a sentence model: parts that end with '.', '!', '?' or a line feed, stripped of spaces, empty ones dropped."""
+    # Not F.trim itself: given a function of two parameters, transform hands over the element's number as characters to trim.
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), rf"(?<=[.!?]){WHITE}|\n+"), lambda s: F.btrim(s, F.lit(ZS))), lambda s: s != "")
 
 
 def sentiment(posts: DataFrame, text: Column, polarity: Callable[[Column], Column], margin: float = 0.05) -> DataFrame:
@@ -261,7 +266,7 @@ def regrouped(rows: DataFrame, key: str, value: str) -> DataFrame:
 def snippets(parts: Column, most: int = 200) -> Column:
     """Sentences packed into snippets of at most `most` words between white space. A snippet begins with a space, unless a sentence
     that did not fit began it; a first sentence that is too long leaves an empty snippet before it; the last snippet is always given."""
-    words = lambda s: F.size(F.filter(F.split(s, r"\s+"), lambda w: w != ""))
+    words = lambda s: F.size(F.filter(F.split(s, WHITE), lambda w: w != ""))
     state = F.struct(F.lit("").alias("now"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("done"))
 
     def step(s: Column, x: Column) -> Column:
