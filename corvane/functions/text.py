@@ -59,7 +59,8 @@ def distinct_parts(matched: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9']+"), F.lit(0))
+    """Runs of a-z, 0-9 and ' in lower case. A dotted capital I is an i, as in SQL: Spark's lower makes two characters of it, which part a token."""
+    return F.regexp_extract_all(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u0130"), F.lit("i"))), F.lit("[a-z0-9']+"), F.lit(0))
 
 
 def hour_of(time: Column) -> Column:
