@@ -72,11 +72,15 @@ def hour_of(time: Column) -> Column:
 
 def feature_keys(text: Column, subreddit: Column, hour: Column) -> Column:
     """The features of a post: w:<token> for each token, s:<subreddit>, h:<HH>."""
-    words = F.transform(tokens(text), lambda t: F.concat(F.lit("w:"), t))
+    return F.transform(unprefixed_keys(text, subreddit, hour), lambda t: F.when(F.contains(t, F.lit(":")), t).otherwise(F.concat(F.lit("w:"), t)))
+
+
+def unprefixed_keys(text: Column, subreddit: Column, hour: Column) -> Column:
+    """The features of a post, tokens without their w: (they have no colon)."""
     name = F.trim(F.coalesce(subreddit, F.lit("")))
     place = F.when(name != "", F.array(F.concat(F.lit("s:"), name))).otherwise(F.array().cast("array<string>"))
     at = F.when(hour.isNotNull(), F.array(F.concat(F.lit("h:"), F.lpad(hour.cast("string"), 2, "0")))).otherwise(F.array().cast("array<string>"))
-    return F.concat(words, place, at)
+    return F.concat(tokens(text), place, at)
 
 
 def unique_keywords(cell: Column, sides: tuple[str, str], most: int = 100) -> Column:

@@ -5,21 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.functions.text import feature_keys, is_author
+from corvane.functions.text import is_author, unprefixed_keys
 from corvane.sources.scratch import written
 
 
-def first_posts(posts: DataFrame, most: int, order: list) -> tuple[DataFrame, DataFrame]:
-    """The first `most` posts of each author in scan order, and (author, seen): how many those are."""
-    own = posts.where(is_author(F.col("author")))
-    first = own.withColumn("__n", F.row_number().over(Window.partitionBy("author").orderBy(*order))).where(F.col("__n") <= most).drop("__n")
-    return first, first.groupBy("author").agg(F.count("*").alias("seen"))
+#: Bytes of input files whose posts make a partition when posts are dealt out by author.
+PART = 16 << 20
+
 
+def by_author(posts: DataFrame) -> DataFrame:
+    """posts dealt out so that an author's lie together, in partitions whose size doesn't grow with the input: what is counted there need not be shuffled."""
+    spark = posts.sparkSession
+    leaves = posts._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    known = sum(n for n in sizes if n < 1 << 60)  # rows of the driver's have no size
+    return posts.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), known // PART), "author")
 
-def author_features(posts: DataFrame) -> DataFrame:
-    """(author, feature, cnt) from posts (author, text, subreddit, hour); blank and deleted authors are left out."""
-    keys = posts.where(is_author(F.col("author"))).select("author", F.explode(feature_keys(F.col("text"), F.col("subreddit"), F.col("hour"))).alias("feature"))
-    return keys.groupBy("author", "feature").agg(F.count("*").alias("cnt"))
+
+def first_posts(posts: DataFrame, most: int, order: list) -> tuple[DataFrame, DataFrame]:
+    """The first `most` posts of each author in scan order, those of an author together, and (author, seen): how many those are."""
+    own = posts.where(is_author(F.col("author")))
+    number = F.row_number().over(Window.partitionBy("author").orderBy(*order))
+    first = by_author(own).withColumn("__n", number).where(F.col("__n") <= most).drop("__n")
+    return first, own.groupBy("author").agg(F.least(F.count("*"), F.lit(most).cast("long")).alias("seen"))
+
+
+def author_features(posts: DataFrame, dealt: bool = False) -> DataFrame:
+    """(author, feature, cnt) from posts (author, text, subreddit, hour); blank and deleted authors are left out. Posts are moved, not their
+    features, unless they have been `dealt` out by author before."""
+    own = posts.where(is_author(F.col("author"))).select("author", "text", "subreddit", "hour")
+    own = own if dealt else by_author(own)
+    # Words get their prefix when they are counted; no word has a colon.
+    keys = own.select("author", F.explode(unprefixed_keys(F.col("text"), F.col("subreddit"), F.col("hour"))).alias("key"))
+    feature = F.when(F.contains("key", F.lit(":")), F.col("key")).otherwise(F.concat(F.lit("w:"), F.col("key")))
+    return keys.groupBy("author", "key").agg(F.count("*").alias("cnt")).select("author", feature.alias("feature"), "cnt")
 
 
 def merged_features(*tables: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from corvane.operators import location
+from corvane.operators import features, location
 from corvane.plans.queries import ORACLE, QUERIES
 
 
@@ -60,3 +61,35 @@ def test_scores_stay_within_the_jvm_compilers_limit(spark, data, observed_only):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert sizes and max(sizes) < 8000
+
+
+def above_tokens(spark, rows):
+    """The part of a plan above its explode: what happens to single features."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    return plan[: plan.index("Generate explode")], plan
+
+
+def test_features_are_counted_where_an_authors_posts_lie(spark, data, monkeypatch):
+    """Posts are shuffled, in partitions of bounded size, and not their features."""
+    from corvane.sources.posts import posts
+
+    rows = posts(spark, data).withColumn("hour", F.hour("time"))
+    above, plan = above_tokens(spark, features.author_features(rows))
+    assert "Exchange" not in above and "Exchange hashpartitioning(author" in plan
+    monkeypatch.setattr(features, "PART", 10_000)
+    assert features.by_author(rows).rdd.getNumPartitions() > 20
+
+
+def test_first_posts_are_shuffled_once(spark, data):
+    from corvane.sources.posts import posts
+
+    first, seen = features.first_posts(posts(spark, data), 2, ["time", "id"])
+    above, plan = above_tokens(spark, features.author_features(first.withColumn("hour", F.hour("time")), dealt=True))
+    assert "Exchange" not in above and plan.count("hashpartitioning(author") == 1
+    assert seen.agg(F.max("seen")).first()[0] == 2
+    assert {tuple(r) for r in first.groupBy("author").count().collect()} == {tuple(r) for r in seen.collect()}
