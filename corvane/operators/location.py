@@ -132,7 +132,7 @@ def located(posts: DataFrame, model: dict[str, DataFrame], smoothing: Smoothing
         scanned = scanned.withColumn("rank", F.array_position(F.array(*[F.lit(12 * y + m) for y, m in months]), (12 * F.year(at) + F.month(at)).cast("int"))).where("rank > 0")
         order = ["rank", *order]
     first, seen = features.first_posts(scanned, most_posts, order)
-    own = written(features.author_features(first.withColumn("hour", hour_of(F.col("time").cast("string")))), "features")
+    own = written(features.author_features(first.withColumn("hour", hour_of(F.col("time").cast("string"))), dealt=True), "features")
     scored = written(scores(own, left, model["params"], model["overrides"], model["vocab"], model["priors"], smoothing), "scores")
     found = written(decisions(scored, seen), "decisions")
     wanted = cache.join(posts.select("author").distinct(), "author", "left_semi").unionByName(found.select("author", "location"))
