@@ -267,10 +267,13 @@ def snippets(parts: Column, most: int = 200) -> Column:
     """Sentences packed into snippets of at most `most` words between white space. A snippet begins with a space, unless a sentence
     that did not fit began it; a first sentence that is too long leaves an empty snippet before it; the last snippet is always given."""
     words = lambda s: F.size(F.filter(F.split(s, WHITE), lambda w: w != ""))
+    # A sentence's words are counted once: inside the step each use would count them anew.
+    counted = F.transform(parts, lambda x: F.struct(x.alias("x"), words(x).alias("k")))
     state = F.struct(F.lit("").alias("now"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("done"))
 
-    def step(s: Column, x: Column) -> Column:
-        over = s["n"] + words(x) > most
-        return F.struct(F.when(over, x).otherwise(F.concat(s["now"], F.lit(" "), x)).alias("now"), F.when(over, words(x)).otherwise(s["n"] + words(x)).alias("n"), F.when(over, F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"]).alias("done"))
+    def step(s: Column, y: Column) -> Column:
+        x, k = y["x"], y["k"]
+        over = s["n"] + k > most
+        return F.struct(F.when(over, x).otherwise(F.concat(s["now"], F.lit(" "), x)).alias("now"), F.when(over, k).otherwise(s["n"] + k).alias("n"), F.when(over, F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"]).alias("done"))
 
-    return F.aggregate(parts, state, step, lambda s: F.concat(s["done"], F.array(s["now"])))
+    return F.aggregate(counted, state, step, lambda s: F.concat(s["done"], F.array(s["now"])))
